@@ -77,5 +77,8 @@ def build_features(df: DataFrame) -> DataFrame:
         STOCKOUT_SPANS,
         ROLLING_SPANS,
     )
-    kept = [c for c in df.columns if c != "sell_price"]
-    return with_series_id(lagged.select(*kept, *[c.alias(name) for name, c in features.items()]))
+    kept = [c for c in lagged.columns if c != "sell_price"]
+    # Lags keep their own columns: an alias of each would make the optimizer derive
+    # the null filter anew for every subset of them.
+    computed = [c.alias(name) for name, c in features.items() if name not in kept]
+    return with_series_id(lagged.select(*kept, *computed))
