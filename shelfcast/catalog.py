@@ -25,6 +25,7 @@ from shelfcast.schema import (
     HORIZON,
     MODEL_COLUMNS,
     MODEL_SCHEMA,
+    PANEL_COLUMNS,
     PRICE_LAGS,
     ROLLING_SPANS,
     SALES_LAGS,
@@ -65,6 +66,14 @@ def monthly_totals(df: DataFrame, columns: list[str]) -> DataFrame:
     ).agg(F.count("*").alias("rows"), *totals)
 
 
+def _staged_panel(spark: SparkSession, folder: str, columns: list[str] = PANEL_COLUMNS) -> DataFrame:
+    """The panel as the written table that cleaning and later steps start from.
+
+    They read it several times, each time other columns.
+    """
+    return stage(retail.panel(spark, folder).select(*columns), "panel")
+
+
 # Sources and panel
 
 
@@ -212,11 +221,11 @@ def outlier_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def impute_mode_price(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.fill_by_mode(retail.panel(spark, folder).select(*KEY, "sell_price"))
+    return quality.fill_by_mode(_staged_panel(spark, folder, [*KEY, "sell_price"]))
 
 
 def clean_table(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.clean(retail.panel(spark, folder))
+    return quality.clean(_staged_panel(spark, folder))
 
 
 # Exploration
@@ -245,7 +254,8 @@ def sales_by_store_day_item(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def price_by_day_item(spark: SparkSession, folder: str) -> DataFrame:
-    return explore.mean_by(quality.clean(retail.panel(spark, folder)), "sell_price", "date", "item_id")
+    priced = quality.fill_by_mode(_staged_panel(spark, folder, [*KEY, "sell_price"]))
+    return explore.mean_by(priced, "sell_price", "date", "item_id")
 
 
 def _season(column: str) -> Query:
@@ -287,25 +297,20 @@ def rolling_features(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def features_full(spark: SparkSession, folder: str) -> DataFrame:
-    return monthly_totals(
-        prepare(model_rows(retail.panel(spark, folder))), ["sales", *features.feature_names()]
-    )
+    prepared = prepare(_staged_panel(spark, folder, MODEL_COLUMNS))
+    return monthly_totals(prepared, ["sales", *features.feature_names()])
 
 
 # Encoders
 
 
 def onehot_event(spark: SparkSession, folder: str) -> DataFrame:
-    events = quality.fill_events(
-        retail.panel(spark, folder).select(*KEY, "event_name_1"), ["event_name_1"]
-    )
+    events = quality.fill_events(_staged_panel(spark, folder, [*KEY, "event_name_1"]), ["event_name_1"])
     return _one_hot(spark, folder, events, events)
 
 
 def onehot_unseen(spark: SparkSession, folder: str) -> DataFrame:
-    events = quality.fill_events(
-        retail.panel(spark, folder).select(*KEY, "event_name_1"), ["event_name_1"]
-    )
+    events = quality.fill_events(_staged_panel(spark, folder, [*KEY, "event_name_1"]), ["event_name_1"])
     return _one_hot(spark, folder, events.where(F.month("date") <= 6), events)
 
 
@@ -316,7 +321,7 @@ def _one_hot(spark: SparkSession, folder: str, fitted_on: DataFrame, applied_to:
 
 
 def _coded_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return retail.panel(spark, folder).select(*KEY, *TARGET_ENCODED_COLUMNS, "sales")
+    return _staged_panel(spark, folder, [*KEY, *TARGET_ENCODED_COLUMNS, "sales"])
 
 
 def target_encode(spark: SparkSession, folder: str) -> DataFrame:
@@ -333,23 +338,18 @@ def target_encode_unseen(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encoded_table(spark: SparkSession, folder: str) -> DataFrame:
-    prepared = prepare(model_rows(retail.panel(spark, folder)))
-    encoders = _fitted(prepared)
+    prepared = prepare(_staged_panel(spark, folder, MODEL_COLUMNS))
+    encoders = fit_encoders(prepared)
     categories = encoders.categories()
     return monthly_totals(
         encode(prepared, encoders, categories), ["sales", *encoded_feature_names(categories)]
     )
 
 
-def _fitted(prepared: DataFrame) -> Encoders:
-    fitted = fit_encoders(prepared)
-    return Encoders(stage(fitted.one_hot, "one-hot"), stage(fitted.target, "target-encoding"))
-
-
 def encoded_pooled(spark: SparkSession, folder: str) -> DataFrame:
     """One state for all series, and more columns, as in exploratory encoding."""
-    rows = quality.fill_events(retail.panel(spark, folder), ["event_name_1", "event_type_1"])
-    rows = rows.select(*KEY, *POOLED_CATEGORIES, "sales")
+    rows = _staged_panel(spark, folder, [*KEY, *POOLED_CATEGORIES, "sales"])
+    rows = quality.fill_events(rows, ["event_name_1", "event_type_1"])
     one_hot = stage(encoding.fit_one_hot(rows, POOLED_CATEGORIES, keys=[]), "one-hot")
     target = stage(encoding.fit_target_encoding(rows, POOLED_CATEGORIES, keys=[]), "target-encoding")
     categories = encoding.one_hot_categories(one_hot)
@@ -362,7 +362,8 @@ def encoded_pooled(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def encoder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
-    events = quality.fill_events(retail.panel(spark, folder), ["event_name_1"])
+    columns = [*KEY, "event_name_1", *TARGET_ENCODED_COLUMNS, "sales"]
+    events = quality.fill_events(_staged_panel(spark, folder, columns), ["event_name_1"])
     fitted = Encoders(
         encoding.fit_one_hot(events, ["event_name_1"]),
         encoding.fit_target_encoding(events, TARGET_ENCODED_COLUMNS),
@@ -378,8 +379,8 @@ def encoder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def _scores(spark: SparkSession, folder: str) -> DataFrame:
-    prepared = prepare(model_rows(retail.panel(spark, folder)))
-    encoders = _fitted(prepared)
+    prepared = prepare(_staged_panel(spark, folder, MODEL_COLUMNS))
+    encoders = fit_encoders(prepared)
     categories = encoders.categories()
     encoded = encode(prepared, encoders, categories)
     return selection.mutual_information(encoded, encoded_feature_names(categories))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shelfcast.schema import CATEGORICAL_INTEGERS, NO_EVENT, SERIES
+from shelfcast.session import stage
 
 
 def columns_by_type(df: DataFrame, numeric: bool) -> list[str]:
@@ -80,7 +81,7 @@ def counts_by(df: DataFrame, *columns: str) -> DataFrame:
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def quantiles(counts: DataFrame, probabilities: tuple[float, ...], cells: int = 512) -> DataFrame:
+def quantiles(counts: DataFrame, probabilities: tuple[float, ...], cells: int = 128) -> DataFrame:
     """Exact, linearly interpolated quantiles from (variable, value, n) rows.
 
     The distinct values of a variable are cut into about equal cells along an
@@ -149,16 +150,25 @@ def quantiles(counts: DataFrame, probabilities: tuple[float, ...], cells: int =
 
 
 def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Count, mean, median, spread, range and quartiles of each numeric column."""
-    counts = value_counts(df, columns, "double")
-    rows = stacked(df, columns, "double")
-    moments = rows.groupBy("variable").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
+    """Count, mean, median, spread, range and quartiles of each numeric column.
+
+    The table is read once, to count its values; the rest works on those counts.
+    """
+    counts = stage(value_counts(df, columns, "double"), "value-counts")
+    known = counts.where(F.col("value").isNotNull())
+    basics = known.groupBy("variable").agg(
+        F.sum("n").alias("count"),
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"),
         F.min("value").alias("min"),
         F.max("value").alias("max"),
     )
+    # One row of basics per column, so this side is as small as the column list.
+    deviation = F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2))
+    moments = (
+        known.join(F.broadcast(basics), "variable")
+        .groupBy("variable", "count", "mean", "min", "max")
+        .agg(F.sqrt(deviation / F.nullif(F.col("count") - 1, F.lit(0))).alias("std"))
+    )
     names = {0.25: "q25", 0.5: "median", 0.75: "q75"}
     wide = (
         quantiles(counts, QUARTILES)

@@ -16,7 +16,14 @@ from shelfcast.operators.encoding import (
 )
 from shelfcast.operators.features import build_features, feature_names
 from shelfcast.operators.quality import clean
-from shelfcast.schema import MODEL_COLUMNS, ONE_HOT_COLUMNS, TARGET_ENCODED_COLUMNS
+from shelfcast.schema import (
+    MODEL_COLUMNS,
+    ONE_HOT_COLUMNS,
+    SERIES,
+    TARGET,
+    TARGET_ENCODED_COLUMNS,
+)
+from shelfcast.session import stage
 from shelfcast.sources.tables import read_stage, write_stage
 
 
@@ -50,8 +57,16 @@ def prepare(rows: DataFrame) -> DataFrame:
 
 
 def fit_encoders(features: DataFrame) -> Encoders:
+    """Fit both encoders on the rows the models will see.
+
+    The few columns they need are staged first: both fits then read a narrow table,
+    and the windows that decide which rows are complete run once.
+    """
+    coded = features.select(*SERIES, TARGET, *ONE_HOT_COLUMNS, *TARGET_ENCODED_COLUMNS)
+    coded = stage(coded, "coded")
     return Encoders(
-        fit_one_hot(features, ONE_HOT_COLUMNS), fit_target_encoding(features, TARGET_ENCODED_COLUMNS)
+        stage(fit_one_hot(coded, ONE_HOT_COLUMNS), "one-hot"),
+        stage(fit_target_encoding(coded, TARGET_ENCODED_COLUMNS), "target-encoding"),
     )
 
 

@@ -46,8 +46,7 @@ def training_set(rows: DataFrame, kept: int = KEPT_FEATURES) -> TrainingSet:
     lags that decide which rows are complete.
     """
     features = prepare(rows)
-    fitted = fit_encoders(features)
-    encoders = Encoders(stage(fitted.one_hot, "one-hot"), stage(fitted.target, "target-encoding"))
+    encoders = fit_encoders(features)
     categories = encoders.categories()
     names = encoded_feature_names(categories)
     encoded = stage(encode(features, encoders, categories), "encoded")
