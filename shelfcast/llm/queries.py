@@ -35,7 +35,7 @@ numbered AS (SELECT row_number() OVER () AS rid, * FROM documents),
 worded AS (
   SELECT rid, doc_id, coalesce(text, '') AS t,
          regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws,
-         list_filter(string_split(coalesce(text, ''), chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls
   FROM numbered),
 windows AS (
   SELECT rid, i, array_to_string(ws[i:i + 7], ' ') AS k
@@ -50,7 +50,7 @@ counted AS (
          len(ls) AS n_lines, len(list_distinct(ws)) AS n_distinct_words,
          length(t) - length(replace(t, '!', '')) AS n_shouts,
          length(regexp_replace(array_to_string(ws, ''), '\P{{L}}', '', 'g')) AS n_letters,
-         len(list_filter(ws, x -> lower(x) IN ({_STOP}))) AS n_stop_words
+         len(list_filter(ws, lambda x: lower(x) IN ({_STOP}))) AS n_stop_words
   FROM worded w LEFT JOIN covered c USING (rid)),
 quality AS (
   SELECT *, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
