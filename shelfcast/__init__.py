@@ -1 +1,9 @@
-"""Store-item demand analytics and forecasting on Spark DataFrames."""
+"""Store-item demand analytics on Spark."""
+
+import sys
+
+from pyspark import cloudpickle
+
+# Functions that run in Python workers travel with their code, so the workers need no
+# installed copy of the package.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
