@@ -5,8 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from shelfcast.llm.decontamination import contamination
 from shelfcast.llm.quality_rules import RULES, STOP_WORDS, Rule, judge_quality
+from shelfcast.llm.simhash import near_duplicates
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -15,6 +18,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
+    found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+    ids = F.array_join("item_ids", ",")
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("item_ids").cast("long").alias("n_items"),
+        F.sha2(ids, 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
 def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     judged = judge_quality(table(spark, folder, "documents"))
     return judged.select(
@@ -22,6 +38,10 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicates(table(spark, folder, "documents"))
+
+
 def _rule_sql(rule: Rule) -> str:
     ratio = f"{rule.over}::DOUBLE / nullif({rule.under}, 0)"
     bounds = [f"{ratio} < {rule.least}"] * (rule.least is not None) + [f"{ratio} > {rule.most}"] * (rule.most is not None)
@@ -68,5 +88,7 @@ FROM quality
 }
 
 QUERIES: dict[str, Query] = {
+    "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
+    "op10_simhash": op10_simhash,
 }
