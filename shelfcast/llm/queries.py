@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.decontamination import contamination
+from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.quality_rules import RULES, STOP_WORDS, Rule, judge_quality
 from shelfcast.llm.simhash import near_duplicates
 
@@ -38,6 +39,16 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def vocabulary(name: str = "byte_bpe_50k.json") -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
+
+
+def op9_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(table(spark, folder, "documents"), vocabulary())
+
+
 def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
@@ -90,5 +101,6 @@ FROM quality
 QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
+    "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
