@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm.decontamination import contamination
+from shelfcast.llm import language_id
 from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.quality_rules import RULES, STOP_WORDS, Rule, judge_quality
 from shelfcast.llm.simhash import near_duplicates
@@ -39,6 +40,13 @@ def op6_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    model = language_id.fit(docs.filter(language_id.training_rows(F.col("doc_id"))))
+    found = language_id.predict(docs, model)
+    return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -101,6 +109,7 @@ FROM quality
 QUERIES: dict[str, Query] = {
     "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
+    "op7_language_id": op7_language_id,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }

@@ -33,7 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfcast.llm.blocks import LOWER, WHITE_SPACE, blocks, word_spans
+from shelfcast.llm.blocks import LOWER, WHITE_SPACE, Block, blocks, word_spans
 from shelfcast.session import stage
 
 SEED = 42
@@ -43,7 +43,7 @@ SEGMENT_BITS = 2
 FULL_CELL = 32
 """Cells with more members meet over one-bit neighbours in place of pairs."""
 
-_FULL = (1 << 64) - 1
+BITS, OWN, ROOT = "__bits", "__own", "__root"
 
 
 def fingerprint(words: list[bytes], shingle: int = SHINGLE) -> int:
@@ -64,35 +64,40 @@ def _set_bits(hashes: np.ndarray) -> np.ndarray:
     return total
 
 
-def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _bits(block: Block) -> np.ndarray:
+    """The fingerprints of the texts of a block."""
     weights = np.uint64(1) << np.arange(64, dtype=np.uint64)
     digest = xxhash.xxh64_intdigest
+    data = LOWER[block.data]
+    inside = ~WHITE_SPACE[data]
+    starts, ends, bounds = word_spans(inside, block.offsets)
+    out = np.zeros(len(block.rows), np.uint64)
+    if not len(starts):
+        return out
+    # All words joined by one space: a shingle is then a stretch of bytes.
+    lengths = ends - starts
+    froms = np.cumsum(lengths + 1) - lengths - 1
+    tos = froms + lengths
+    joined = np.full(int(tos[-1]) + 1, 0x20, np.uint8)
+    place = np.ones(len(joined), bool)
+    place[tos] = False
+    joined[place] = data[inside]
+    view = memoryview(joined.tobytes())
+    cut = bounds.tolist()
+    for row, (a, b) in enumerate(zip(cut, cut[1:])):
+        if a == b:
+            continue
+        n = max(1, b - a - SHINGLE + 1)
+        begin, end = froms[a : a + n].tolist(), tos[min(a + SHINGLE, b) - 1 : b].tolist()
+        hashes = np.fromiter((digest(view[i:j], SEED) for i, j in zip(begin, end)), np.uint64, n)
+        out[row] = weights[2 * _set_bits(hashes) > n].sum(dtype=np.uint64)
+    return out
+
+
+def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for block in blocks(batches):
-        data = LOWER[block.data]
-        starts, ends, bounds = word_spans(~WHITE_SPACE[data], block.offsets)
-        # All words joined by one space: a shingle is then a stretch of bytes.
-        if len(starts):
-            inside = ~WHITE_SPACE[data]
-            lengths = ends - starts
-            to = np.cumsum(lengths + 1) - lengths - 1
-            joined = np.full(int(lengths.sum() + len(lengths)), 0x20, np.uint8)
-            place = np.ones(len(joined), bool)
-            place[to + lengths] = False
-            joined[place] = data[inside]
-            view, froms, tos = memoryview(joined.tobytes()), to, to + lengths
-        out = np.zeros(len(block.rows), np.uint64)
-        cut = bounds.tolist()
-        for row, (a, b) in enumerate(zip(cut, cut[1:])):
-            if a == b:
-                continue
-            n = max(1, b - a - SHINGLE + 1)
-            begin = froms[a : a + n].tolist()
-            end = tos[min(a + SHINGLE, b) - 1 : b].tolist()
-            hashes = np.fromiter((digest(view[i:j], SEED) for i, j in zip(begin, end)), np.uint64, n)
-            out[row] = weights[2 * _set_bits(hashes) > n].sum(dtype=np.uint64)
-        yield pa.RecordBatch.from_arrays(
-            [block.rows.column("doc_id").cast(pa.int64()), pa.array(out.view(np.int64))], names=["doc_id", "bits"]
-        )
+        bits = pa.array(_bits(block).view(np.int64))
+        yield pa.RecordBatch.from_arrays([block.rows.column("doc_id"), bits], names=["doc_id", "bits"])
 
 
 def fingerprints(docs: DataFrame) -> DataFrame:
@@ -206,7 +211,8 @@ def near_duplicates(docs: DataFrame, distance: int = 2) -> DataFrame:
 
 
 def classes(rows: DataFrame, distance: int = 2) -> DataFrame:
-    """doc_id, bits and component (NO_ID where no row of it has an id) of fingerprint rows.
+    """doc_id, bits, root (the smallest bits of the component) and component (its smallest
+    doc_id, NO_ID where no row of it has one) of fingerprint rows.
 
     Copies share their bits, so links, components and names are worked out over distinct
     bits; the last join carries small rows only, and adaptive execution splits a hot value.
@@ -218,5 +224,40 @@ def classes(rows: DataFrame, distance: int = 2) -> DataFrame:
         "bits", "least", F.coalesce("root", "bits").alias("root")
     )
     names = rooted.groupBy("root").agg(F.min("least").alias("component"))
-    of_value = rooted.join(names, "root").select("bits", "component")
-    return rows.join(of_value, "bits", "left").select("doc_id", "bits", "component")
+    of_value = rooted.join(names, "root").select("bits", "root", "component")
+    return rows.join(of_value, "bits", "left").select("doc_id", "bits", "root", "component")
+
+
+def _with_bits(docs: DataFrame) -> DataFrame:
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in blocks(batches):
+            yield block.rows.append_column(BITS, pa.array(_bits(block).view(np.int64)))
+
+    return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(BITS, T.LongType())]))
+
+
+def keep_one(docs: DataFrame, distance: int = 2) -> DataFrame:
+    """The documents, all columns, less those that have a near copy with a smaller doc_id.
+
+    Texts are not shuffled: whole rows are only compared with the ids that stay. Rows that
+    share a doc_id, or have none, are settled apart by their fingerprints, one to a
+    component.
+    """
+    found = stage(classes(stage(fingerprints(docs), "simhash-rows"), distance), "simhash-classes")
+    own = F.coalesce("doc_id", F.lit(NO_ID))
+    ids = found.groupBy(own.alias("own")).agg(
+        F.count("*").alias("rows"), F.max((own == F.col("component")).cast("int")).alias("names")
+    )
+    ids = stage(ids.filter("names = 1"), "simhash-keepers")
+    shared = (F.col("rows") > 1) | (F.col("own") == NO_ID)
+    single, several = ids.filter(~shared), ids.filter(shared)
+    kept = docs.join(single, docs["doc_id"] == single["own"], "left_semi")
+    again = docs.join(several, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == several["own"], "left_semi")
+    named = found.filter(own == F.col("component")).select(
+        F.col("component").alias(OWN), F.col("bits").alias(BITS), F.col("root").alias(ROOT)
+    ).distinct()
+    if not several.isEmpty():
+        # Components without any id share the name NO_ID: there the root tells them apart.
+        again = _with_bits(again).withColumn(OWN, F.coalesce("doc_id", F.lit(NO_ID))).join(named, [OWN, BITS])
+        kept = kept.unionByName(again.dropDuplicates([OWN, ROOT]).select(docs.columns))
+    return kept
