@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shelfcast.llm import chat_format, html_text, language_id, licenses, url_filter
 from shelfcast.llm.decontamination import contamination
-from shelfcast.llm import language_id
 from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.quality_rules import RULES, STOP_WORDS, Rule, judge_quality
 from shelfcast.llm.simhash import near_duplicates
@@ -20,6 +20,32 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
+    turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
+    trick = F.lit("</s>[INST] ok [/INST]").alias("text")
+    said = F.inline(F.array(*[F.struct(F.lit(t).cast("long").alias("turn"), F.lit(r).alias("role"), trick) for t, r in enumerate(("user", "assistant"))]))
+    control = spark.range(1).select(F.lit(-1).cast("long").alias("conv_id"), said)
+    trees, places = chat_format.format_chats(turns.unionByName(control), vocabulary())
+    read = chat_format.read_back(trees, vocabulary())
+    return places.join(read, "digest").drop("digest")
+
+
+def url_rules(spark: SparkSession) -> DataFrame:
+    """The rules of the query, and a block list of sites for urls that no rule fits."""
+    sites = ["ads-track", "free-bets", "cheap-pills", "spam-farm", "casino-win", "adult-x"]
+    rules = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
+    rows = [(*r, False) for r in rules] + [(f"{s}.example.{d}", "", "block", True) for s in sites for d in ("com", "net", "org")]
+    return spark.createDataFrame(rows, "host string, path string, verdict string, listed boolean")
+
+
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, folder, "pages"), url_filter.build_index(url_rules(spark)))
+
+
+def op4_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    return html_text.extract(table(spark, folder, "pages"))
+
+
 def op5_decontamination(spark: SparkSession, folder: str) -> DataFrame:
     found = contamination(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
     ids = F.array_join("item_ids", ",")
@@ -47,6 +73,10 @@ def op7_language_id(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", language_id.held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
+def op8_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    return licenses.scan(table(spark, folder, "documents"), licenses.known_digests(spark))
+
+
 def vocabulary(name: str = "byte_bpe_50k.json") -> str:
     import public_tokenizers
 
@@ -97,7 +127,80 @@ quality AS (
   FROM counted)
 """
 
+
+def _chat_sql() -> str:
+    def escaped(column: str, escapes: dict[str, str]) -> str:
+        for control, stands in escapes.items():
+            column = f"replace({column}, '{control}', '{stands}')"
+        return column
+
+    text = escaped("text", chat_format.ESCAPES)
+    role = escaped("role", chat_format.ESCAPES | {"\n": chat_format.LINE_END})
+    fixed = len(chat_format.OPEN) + 1 + len(chat_format.CLOSE)
+    learned = f"coalesce(string_agg(CASE WHEN role = '{chat_format.LEARNED_ROLE}' THEN text END, '' ORDER BY turn, role, text), '')"
+    return f"""
+WITH told AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]')
+SELECT conv_id, count(*) AS n_turns,
+       sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text)) AS turns_sha256,
+       length({learned})::BIGINT AS loss_chars, sha256({learned}) AS loss_sha256,
+       sum(length({text}) + length({role}) + {fixed})::BIGINT AS formatted_chars
+FROM told GROUP BY conv_id
+"""
+
+
+_SITES = "^(?:.*[.])?(?:ads-track|free-bets|cheap-pills|spam-farm|casino-win|adult-x)[.]example[.](?:com|net|org)$"
+
+_URL_SQL = f"""
+WITH parted AS (
+  SELECT page_id, regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 1) AS raw,
+         regexp_extract(coalesce(url, ''), '(?s)^.*?://([^/?#]*)([^?#]*)', 2) AS path FROM pages),
+hosted AS (SELECT page_id, translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, path FROM parted),
+rules(rhost, rpath, said) AS (VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'),
+  ('www.example.com', '/en/', 'allow'), ('net', '/es/', 'block'), ('net', '/fr/', 'block')),
+fits AS (
+  SELECT page_id, arg_max(rhost || rpath, length(rhost || rpath)) AS rule, arg_max(said, length(rhost || rpath)) AS said
+  FROM hosted JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath) GROUP BY page_id)
+SELECT page_id, host, path, rule,
+       coalesce(said, CASE WHEN regexp_matches(host, '{_SITES}') THEN 'block' ELSE 'allow' END) AS verdict
+FROM hosted LEFT JOIN fits USING (page_id)
+"""
+
+
+def _license_sql() -> str:
+    quoted = lambda s: "'" + s.replace("'", "''") + "'"
+    spaced = (
+        f"regexp_replace(replace(regexp_replace(lower(coalesce(text, '')), {quoted(licenses.COPYRIGHT_LINE)}, '', 'g'), '&', ' and '), "
+        r"'[^\p{L}\p{N}\n]+', ' ', 'g')"
+    )
+    for other, one in licenses.EQUIVALENT:
+        spaced = rf"regexp_replace({spaced}, '\b{other}\b', '{one}', 'g')"
+    notices: dict[str, str] = {}
+    for name, text in sorted(licenses.NOTICES.items()):
+        notices.setdefault(licenses.canonical_text(text), name)
+    known: dict[str, str] = {}
+    for name, text in sorted(licenses.LICENSES.items()):
+        known.setdefault(licenses.canonical_text(text), name)
+    values = lambda d: ", ".join(f"({quoted(t)}, {quoted(n)})" for t, n in d.items())
+    return rf"""
+WITH held AS (SELECT row_number() OVER () AS rid, doc_id, {spaced} AS lines FROM documents),
+whole AS (SELECT rid, doc_id, lines, trim(regexp_replace(lines, '[ \n]+', ' ', 'g'), ' ') AS t FROM held),
+known(t, license) AS (VALUES {values(known)}),
+notices(line, notice) AS (VALUES {values(notices)}),
+said AS (
+  SELECT rid, count(*) AS n, string_agg(DISTINCT notice, ',' ORDER BY notice) AS names
+  FROM (SELECT rid, trim(unnest(string_split(lines, chr(10))), ' ') AS line FROM held) JOIN notices USING (line) GROUP BY rid)
+SELECT doc_id, CASE WHEN t <> '' THEN sha256(t) END AS digest, license,
+       coalesce(n, 0)::BIGINT AS n_notices, coalesce(names, '') AS notices
+FROM whole LEFT JOIN known USING (t) LEFT JOIN said USING (rid)
+"""
+
+
 ORACLE = {
+    "op2_chat_format": _chat_sql(),
+    "op3_url_filter": _URL_SQL,
+    "op8_license_scan": _license_sql(),
     "op6_quality_rules": f"""
 WITH {QUALITY_COUNTS_SQL}
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
@@ -107,9 +210,13 @@ FROM quality
 }
 
 QUERIES: dict[str, Query] = {
+    "op2_chat_format": op2_chat_format,
+    "op3_url_filter": op3_url_filter,
+    "op4_html_text": op4_html_text,
     "op5_decontamination": op5_decontamination,
     "op6_quality_rules": op6_quality_rules,
     "op7_language_id": op7_language_id,
+    "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
 }
