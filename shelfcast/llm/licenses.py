@@ -23,6 +23,8 @@ from shelfcast.llm.known_licenses import LICENSES, NOTICES
 # Spellings that license guidelines hold to be the same.
 EQUIVALENT = [
     ("licence", "license"),
+    ("licences", "licenses"),
+    ("sublicence", "sublicense"),
     ("licenced", "licensed"),
     ("licencing", "licensing"),
     ("licencee", "licensee"),
