@@ -58,9 +58,11 @@ def canonical(text: Column) -> Column:
     low = F.lower(F.coalesce(text, F.lit("")))
     plain = F.regexp_replace(low, COPYRIGHT_LINE, "")
     spaced = F.regexp_replace(F.replace(plain, F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}\n]+", " ")
+    alike = spaced
     for other, one in EQUIVALENT:
-        spaced = F.regexp_replace(spaced, rf"\b{other}\b", one)
-    return spaced
+        alike = F.regexp_replace(alike, rf"\b{other}\b", one)
+    # Most texts hold none of these spellings: one look tells.
+    return F.when(spaced.rlike("|".join(other for other, _ in EQUIVALENT)), alike).otherwise(spaced)
 
 
 def one_line(lines: Column) -> Column:

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import chat_format, html_text, language_id, licenses, url_filter
+from shelfcast.llm import chat_format, html_text, language_id, language_model, licenses, url_filter
 from shelfcast.llm.decontamination import contamination
 from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.quality_rules import RULES, STOP_WORDS, Rule, judge_quality
@@ -20,6 +20,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def op1_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    held_out = language_model.held_out(F.col("doc_id"))
+    model = language_model.train(docs.filter(~held_out))
+    return language_model.score(docs, model).select(
+        "doc_id",
+        held_out.alias("held_out"),
+        "n_tokens",
+        "n_known",
+        F.lit(model["tokens"]).cast("long").alias("train_tokens"),
+        "base_score",
+        "score",
+        "perplexity",
+    )
+
+
 def op2_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     turns = table(spark, folder, "conversations").select("conv_id", "turn", "role", "text")
     trick = F.lit("</s>[INST] ok [/INST]").alias("text")
@@ -210,6 +226,7 @@ FROM quality
 }
 
 QUERIES: dict[str, Query] = {
+    "op1_lm_scoring": op1_lm_scoring,
     "op2_chat_format": op2_chat_format,
     "op3_url_filter": op3_url_filter,
     "op4_html_text": op4_html_text,
