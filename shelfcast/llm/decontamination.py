@@ -69,9 +69,9 @@ def words_of(text: bytes) -> list[bytes]:
 
 
 def hash_each(words: list[bytes]) -> np.ndarray:
-    ends = np.cumsum([len(w) for w in words], dtype=np.int64)
-    starts = np.concatenate([[0], ends[:-1]]).astype(np.int64)
-    return word_hashes(np.frombuffer(b"".join(words), np.uint8), starts, ends)
+    lengths = np.array([len(w) for w in words], np.int64)
+    ends = np.cumsum(lengths)
+    return word_hashes(np.frombuffer(b"".join(words), np.uint8), ends - lengths, ends)
 
 
 def build(items: Iterable[tuple[str, list[bytes]]], window: int = WINDOW) -> dict:

@@ -179,7 +179,9 @@ def first_pass(block: Piece) -> str | None:
 
 
 def second_pass(labels: list[str | None]) -> list[str]:
-    """Undecided blocks take the label of the nearest decided neighbours."""
+    """Undecided blocks take the label of the nearest decided neighbours; alone, they are text."""
+    if not any(labels):
+        return [TEXT] * len(labels)
     before: list[tuple[str, int]] = []
     last, at = BOILER, -1
     for i, label in enumerate(labels):
