@@ -11,11 +11,14 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
 from urllib.parse import urlparse
 
 import numpy as np
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.llm.blocks import mix
 from shelfcast.session import shared_folder
 
 
@@ -66,3 +69,50 @@ def mapped(folder: str, name: str) -> np.ndarray:
         read = np.lib.format.read_array_header_1_0 if version == (1, 0) else np.lib.format.read_array_header_2_0
         shape, _, dtype = read(copy)
         return np.memmap(copy, dtype, "r", copy.tell(), shape) if shape[0] else np.zeros(0, dtype)
+
+
+SHARD_IDS = 1_000_000
+
+
+def shard_of(hashes: np.ndarray, shards: int) -> np.ndarray:
+    """Which of so many equal ranges of 64-bit numbers each falls into."""
+    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+
+
+def write_ids(ids: DataFrame, name: str) -> dict:
+    """Write the long column of `ids` as sorted arrays by range of hash; where they are."""
+    (column,) = ids.columns
+    folder, shards = new_folder(ids.sparkSession, name), max(1, -(-ids.count() // SHARD_IDS))
+
+    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            told = batch.column(0).to_numpy(zero_copy_only=False)
+            shard = shard_of(mix(told.astype(np.int64).view(np.uint64)), shards)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), batch.column(0)], names=["shard", "id"])
+
+    def write(key: tuple, table: pa.Table) -> pa.Table:
+        write_array(folder, f"ids-{key[0].as_py():06d}", np.unique(table.column("id").to_numpy()))
+        return pa.table({"shard": [key[0].as_py()]})
+
+    placed = ids.select(column).mapInArrow(place, "shard long, id long")
+    written = placed.groupBy("shard").applyInArrow(write, "shard long").collect()
+    return {"folder": folder, "shards": shards, "written": {r["shard"] for r in written}}
+
+
+class Ids:
+    """A set of ids in mapped arrays."""
+
+    def __init__(self, place: dict):
+        self.place, self.arrays = place, {}
+
+    def hold(self, ids: np.ndarray) -> np.ndarray:
+        """Whether each id is in the set."""
+        found = np.zeros(len(ids), bool)
+        shard = shard_of(mix(ids.astype(np.int64).view(np.uint64)), self.place["shards"])
+        for s in set(shard.tolist()) & self.place["written"]:
+            if s not in self.arrays:
+                self.arrays[s] = mapped(self.place["folder"], f"ids-{s:06d}")
+            mine = np.flatnonzero(shard == s)
+            at = np.minimum(np.searchsorted(self.arrays[s], ids[mine]), len(self.arrays[s]) - 1)
+            found[mine] = self.arrays[s][at] == ids[mine]
+        return found

@@ -31,7 +31,7 @@ LONGEST_GRAM = 3
 UNDETERMINED = "und"
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.01
-BLOCK_ROWS = 512
+BLOCK_ROWS = 128
 
 
 def training_rows(doc_id: Column) -> Column:

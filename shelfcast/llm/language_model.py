@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.arrays import mapped, new_folder, write_array
+from shelfcast.llm.arrays import mapped, new_folder, shard_of, write_array
 from shelfcast.llm.blocks import LOWER, WHITE_SPACE, Block, add_up, blocks, word_hashes, word_spans
 from shelfcast.session import stage
 
@@ -66,10 +66,6 @@ def small(values: np.ndarray) -> np.ndarray:
     return values.astype(np.min_scalar_type(int(values.max()) if len(values) else 0))
 
 
-def shard_of_hash(hashes: np.ndarray, shards: int) -> np.ndarray:
-    return ((hashes >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
-
-
 class Held:
     """Keys and their counts, summed up whenever there are too many."""
 
@@ -133,7 +129,7 @@ class Vocabulary:
         """The number of each word, -1 for those never seen."""
         distinct, back = np.unique(hashes, return_inverse=True)
         out = np.full(len(distinct), -1, np.int64)
-        for s, part in _slices(shard_of_hash(distinct, self.shards)):
+        for s, part in _slices(shard_of(distinct, self.shards)):
             if self.keys[s] is not None:
                 at = np.minimum(np.searchsorted(self.keys[s], distinct[part]), len(self.keys[s]) - 1)
                 out[part] = np.where(self.keys[s][at] == distinct[part], at + self.starts[s], -1)
@@ -166,10 +162,10 @@ def _count_words(texts: DataFrame, folder: str, shards: int) -> dict:
         for block in blocks(batches):
             if held.add(token_hashes(block)[0]):
                 keys, counts = held.sum()
-                yield from _sent(shard_of_hash(keys, shards), keys, counts)
+                yield from _sent(shard_of(keys, shards), keys, counts)
                 held = Held()
         keys, counts = held.sum()
-        yield from _sent(shard_of_hash(keys, shards), keys, counts)
+        yield from _sent(shard_of(keys, shards), keys, counts)
 
     def merge(key: tuple, table: pa.Table) -> pa.Table:
         shard = key[0].as_py()

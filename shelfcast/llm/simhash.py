@@ -33,6 +33,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.llm.arrays import Ids, write_ids
 from shelfcast.llm.blocks import LOWER, WHITE_SPACE, Block, blocks, word_spans
 from shelfcast.session import stage
 
@@ -236,28 +237,40 @@ def _with_bits(docs: DataFrame) -> DataFrame:
     return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(BITS, T.LongType())]))
 
 
+def _among(docs: DataFrame, place: dict, wanted: bool) -> DataFrame:
+    """The rows whose doc_id (NO_ID where there is none) is in the set, or is not."""
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = Ids(place)
+        for batch in batches:
+            own = batch.column("doc_id").cast(pa.int64()).fill_null(NO_ID).to_numpy()
+            yield batch.filter(pa.array(ids.hold(own) == wanted))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def keep_one(docs: DataFrame, distance: int = 2) -> DataFrame:
     """The documents, all columns, less those that have a near copy with a smaller doc_id.
 
-    Texts are not shuffled: whole rows are only compared with the ids that stay. Rows that
-    share a doc_id, or have none, are settled apart by their fingerprints, one to a
-    component.
+    Texts are not shuffled: the ids that go are written as sorted arrays, which the tasks
+    that read the texts map and search. Rows that share a doc_id, or have none, are settled
+    apart by their fingerprints, one to a component.
     """
     found = stage(classes(stage(fingerprints(docs), "simhash-rows"), distance), "simhash-classes")
     own = F.coalesce("doc_id", F.lit(NO_ID))
     ids = found.groupBy(own.alias("own")).agg(
         F.count("*").alias("rows"), F.max((own == F.col("component")).cast("int")).alias("names")
     )
-    ids = stage(ids.filter("names = 1"), "simhash-keepers")
+    ids = stage(ids, "simhash-ids")
     shared = (F.col("rows") > 1) | (F.col("own") == NO_ID)
-    single, several = ids.filter(~shared), ids.filter(shared)
-    kept = docs.join(single, docs["doc_id"] == single["own"], "left_semi")
-    again = docs.join(several, F.coalesce(docs["doc_id"], F.lit(NO_ID)) == several["own"], "left_semi")
-    named = found.filter(own == F.col("component")).select(
-        F.col("component").alias(OWN), F.col("bits").alias(BITS), F.col("root").alias(ROOT)
-    ).distinct()
+    kept = _among(docs, write_ids(ids.filter(shared | (F.col("names") == 0)).select("own"), "simhash-gone"), False)
+    several = ids.filter(shared & (F.col("names") == 1)).select("own")
     if not several.isEmpty():
+        again = _with_bits(_among(docs, write_ids(several, "simhash-shared"), True))
+        named = found.filter(own == F.col("component")).select(
+            F.col("component").alias(OWN), F.col("bits").alias(BITS), F.col("root").alias(ROOT)
+        ).distinct()
+        again = again.withColumn(OWN, F.coalesce("doc_id", F.lit(NO_ID))).join(named, [OWN, BITS])
         # Components without any id share the name NO_ID: there the root tells them apart.
-        again = _with_bits(again).withColumn(OWN, F.coalesce("doc_id", F.lit(NO_ID))).join(named, [OWN, BITS])
         kept = kept.unionByName(again.dropDuplicates([OWN, ROOT]).select(docs.columns))
     return kept

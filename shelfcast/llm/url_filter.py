@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.arrays import mapped, new_folder, write_array
+from shelfcast.llm.arrays import mapped, new_folder, shard_of, write_array
 
 SHARD_RULES = 2_000_000
 ALLOW, BLOCK = "allow", "block"
@@ -58,7 +58,7 @@ def build_index(rules: DataFrame) -> dict:
         for batch in batches:
             hosts, paths = batch.column("host").to_pylist(), batch.column("path").to_pylist()
             keys = np.array([_key(h, p) for h, p in zip(hosts, paths)], np.uint64)
-            shard = ((keys >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)).astype(np.int64)
+            shard = shard_of(keys, shards)
             added = batch.append_column("key", pa.array(keys.view(np.int64)))
             yield added.append_column("shard", pa.array(shard))
 
@@ -103,7 +103,7 @@ class Index:
         """The kinds of rule stored for each (host, path), as bits by kind; 0 for none."""
         found = [0] * len(probes)
         keys = np.array([_key(*p) for p in probes], np.uint64)
-        shard = ((keys >> np.uint64(32)) * np.uint64(self.shards) >> np.uint64(32)).astype(np.int64)
+        shard = shard_of(keys, self.shards)
         for s, (stored, ends, strings, kinds) in self.arrays.items():
             mine = np.flatnonzero(shard == s)
             left = np.searchsorted(stored, keys[mine], "left")
