@@ -173,8 +173,9 @@ def _count_words(texts: DataFrame, folder: str, shards: int) -> dict:
         write_array(folder, f"words-{shard:06d}", keys)
         write_array(folder, f"word-counts-{shard:06d}", small(counts))
         ends = np.cumsum(counts)
-        # Words before which a new range begins; words that fill ranges of their own.
-        cuts = np.flatnonzero(np.diff(ends // RANGE_TOKENS, prepend=0))
+        # Words before which a range of bigrams begins: the first one here, and those that
+        # fill one up. Words that fill several are cut into parts.
+        cuts = np.union1d([0], np.flatnonzero(np.diff(ends // RANGE_TOKENS, prepend=0)))
         parts = -(-counts[cuts] // RANGE_TOKENS)
         row = {"shard": [shard], "words": [len(keys)], "tokens": [int(ends[-1])], "cuts": [cuts.tolist()], "parts": [parts.tolist()]}
         kinds = [("shard", pa.int64()), ("words", pa.int64()), ("tokens", pa.int64()), ("cuts", pa.list_(pa.int64())), ("parts", pa.list_(pa.int64()))]
