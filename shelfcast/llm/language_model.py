@@ -36,7 +36,7 @@ from shelfcast.session import stage
 
 VOCABULARY_BYTES = 16 << 20
 """Text per range of the vocabulary."""
-RANGE_TOKENS = 1_500_000
+RANGE_TOKENS = 1_000_000
 """Bigrams, as they occur, per range."""
 HELD = 2_000_000
 """Different keys a task holds before it sends them on."""
@@ -192,12 +192,12 @@ def _count_words(texts: DataFrame, folder: str, shards: int) -> dict:
     n_words, tokens = starts[-1], sum(r["tokens"] for r in rows)
     if n_words > MOST_WORDS:
         raise ValueError("more different words than 32-bit numbers")
-    splits = [
+    splits = sorted(
         (starts[r["shard"]] + at << 32) + n_words * part // parts
         for r in rows
         for at, parts in zip(r["cuts"], r["parts"])
         for part in range(parts)
-    ]
+    )
     return {"folder": folder, "shards": shards, "sizes": sizes, "starts": starts, "words": n_words, "tokens": tokens, "splits": splits}
 
 

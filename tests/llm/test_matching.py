@@ -183,6 +183,7 @@ def test_language_model_equals_plain_counts(spark, odd_docs, monkeypatch, small)
         assert np.allclose([row["base_score"], row["score"]], [base, score])
     if small:
         assert len(place["ranges"]) > 20 and place["shards"] > 3
+        assert place["splits"] == sorted(place["splits"])
 
 
 def test_language_model_probabilities_add_up(spark):
