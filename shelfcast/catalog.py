@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.history import all_zero
 from shelfcast.operators import encoding, explore, features, folds, panel as P, quality, selection
-from shelfcast.operators.training import mean_absolute_error, search, train
+from shelfcast.operators.training import aligned_models, linear_score, mean_absolute_error, search, train
 from shelfcast.plans import forecasting
 from shelfcast.plans.preparation import (
     Encoders,
@@ -58,12 +58,9 @@ def rounded(df: DataFrame, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, 6) for c in columns})
 
 
-def monthly_totals(df: DataFrame, columns: list[str]) -> DataFrame:
-    """Every value of every row, added up per series and month."""
-    totals = [F.round(F.sum(F.col(c).cast("double")), 6).alias(c) for c in columns]
-    return df.groupBy(
-        *SERIES, F.year("date").alias("in_year"), F.month("date").alias("in_month")
-    ).agg(F.count("*").alias("rows"), *totals)
+def feature_rows(df: DataFrame, columns: list[str]) -> DataFrame:
+    """All rows with the given columns as numbers of six decimals."""
+    return df.select(*KEY, *[F.round(F.col(c).cast("double"), 6).alias(c) for c in columns])
 
 
 def _staged_panel(spark: SparkSession, folder: str, columns: list[str] = PANEL_COLUMNS) -> DataFrame:
@@ -78,13 +75,14 @@ def _staged_panel(spark: SparkSession, folder: str, columns: list[str] = PANEL_C
 
 
 def src_tables(spark: SparkSession, folder: str) -> DataFrame:
+    totals = retail.day_totals(spark, folder)
     parts = [
         tables.read_table(spark, folder, name)
         .agg(F.count("*").alias("rows"))
         .select(F.lit(name).alias("source"), "rows")
         for name in ("region", "nation", "supplier", "part", "lineitem")
     ] + [
-        source(spark, folder).agg(F.count("*").alias("rows")).select(F.lit(name).alias("source"), "rows")
+        source(totals).agg(F.count("*").alias("rows")).select(F.lit(name).alias("source"), "rows")
         for name, source in (("calendar", retail.calendar), ("sell_prices", retail.sell_prices))
     ]
     result = parts[0]
@@ -94,19 +92,21 @@ def src_tables(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def unpivot_sales(spark: SparkSession, folder: str) -> DataFrame:
-    return P.melt_days(retail.sales_wide(spark, folder), WIDE_IDS).drop("id")
+    return P.melt_days(retail.sales_wide(retail.day_totals(spark, folder)), WIDE_IDS).drop("id")
 
 
 def join_calendar(spark: SparkSession, folder: str) -> DataFrame:
-    joined = P.attach_calendar(retail.sales_long(spark, folder), retail.calendar(spark, folder))
+    totals = retail.day_totals(spark, folder)
+    joined = P.attach_calendar(retail.sales_long(totals), retail.calendar(totals))
     return joined.drop("state_id", "dept_id", "cat_id")
 
 
 def join_prices(spark: SparkSession, folder: str) -> DataFrame:
+    totals = retail.day_totals(spark, folder)
     dated = P.attach_calendar(
-        retail.sales_long(spark, folder), retail.calendar(spark, folder).select("d", "date", "wm_yr_wk")
+        retail.sales_long(totals), retail.calendar(totals).select("d", "date", "wm_yr_wk")
     )
-    priced = P.attach_prices(dated, retail.sell_prices(spark, folder))
+    priced = P.attach_prices(dated, retail.sell_prices(totals))
     return priced.select(*KEY, "wm_yr_wk", "sales", "sell_price")
 
 
@@ -135,8 +135,8 @@ def missing_days(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def semi_filter(spark: SparkSession, folder: str) -> DataFrame:
-    priced_weeks = retail.sell_prices(spark, folder)
-    known = P.keep_known(retail.panel(spark, folder), priced_weeks, [*SERIES, "wm_yr_wk"])
+    totals = retail.day_totals(spark, folder)
+    known = P.keep_known(retail.panel_of(totals), retail.sell_prices(totals), [*SERIES, "wm_yr_wk"])
     return known.select(*KEY, "wm_yr_wk", "sales")
 
 
@@ -146,14 +146,15 @@ def sorted_head(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def series_key(spark: SparkSession, folder: str) -> DataFrame:
-    keyed = P.with_series_id(retail.daily_sales(spark, folder).select(*SERIES)).distinct()
-    split = P.split_series_id(keyed.select("series_id"), 4)
-    parts = split.withColumnsRenamed({"store_id": "first_4", "item_id": "from_6"})
-    return keyed.join(parts, "series_id")
+    """Each series by its one key and by the store and item split from it again."""
+    series = retail.day_totals(spark, folder).select(*SERIES).distinct()
+    return P.split_series_id(P.with_series_id(series).select("series_id"), series)
 
 
 def drop_oldest_day(spark: SparkSession, folder: str) -> DataFrame:
-    return P.drop_oldest_day(retail.panel(spark, folder)).select(*KEY, "sales")
+    totals = retail.day_totals(spark, folder)
+    oldest = totals.agg(F.min("date").alias("oldest")).scalar()
+    return P.drop_oldest_day(retail.panel_of(totals), oldest).select(*KEY, "sales")
 
 
 def tail_per_series(spark: SparkSession, folder: str) -> DataFrame:
@@ -170,17 +171,11 @@ def profile_columns(spark: SparkSession, folder: str) -> DataFrame:
 def duplicate_rows(spark: SparkSession, folder: str) -> DataFrame:
     table = retail.panel(spark, folder).drop("date")
     without_day = [c for c in table.columns if c != "d"]
-    return (
-        quality.duplicate_rows(table, table.columns)
-        .withColumn("compared", F.lit("all"))
-        .unionByName(
-            quality.duplicate_rows(table, without_day).withColumn("compared", F.lit("all but the day"))
-        )
-    )
+    return quality.duplicate_rows(table, {"all": table.columns, "all but the day": without_day})
 
 
 def value_counts(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.value_counts(retail.panel(spark, folder), [*CATEGORIES, "event_name_2", "event_type_2"])
+    return quality.value_counts(retail.panel(spark, folder), ["d", *CATEGORIES, "event_name_2", "event_type_2"])
 
 
 def event_crosstab(spark: SparkSession, folder: str) -> DataFrame:
@@ -225,7 +220,7 @@ def impute_mode_price(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def clean_table(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.clean(_staged_panel(spark, folder))
+    return quality.as_categories(quality.clean(_staged_panel(spark, folder)))
 
 
 # Exploration
@@ -287,18 +282,18 @@ def lag_features(spark: SparkSession, folder: str) -> DataFrame:
         *[f"sell_price_lag_{k}" for k in range(1, PRICE_LAGS + 1)],
         *flags,
     ]
-    return monthly_totals(lagged.withColumns(flags), names)
+    return feature_rows(lagged.withColumns(flags), names)
 
 
 def rolling_features(spark: SparkSession, folder: str) -> DataFrame:
     rolled = features.add_rolling(retail.panel(spark, folder).select(*KEY, "sales"))
     names = [f"sales_{kind}_{k}" for kind in ("rollmin", "rollmean", "rollmax") for k in ROLLING_SPANS]
-    return monthly_totals(rolled, names)
+    return feature_rows(rolled, names)
 
 
 def features_full(spark: SparkSession, folder: str) -> DataFrame:
     prepared = prepare(_staged_panel(spark, folder, MODEL_COLUMNS))
-    return monthly_totals(prepared, ["sales", *features.feature_names()])
+    return feature_rows(prepared, ["sales", *features.feature_names()])
 
 
 # Encoders
@@ -341,7 +336,7 @@ def encoded_table(spark: SparkSession, folder: str) -> DataFrame:
     prepared = prepare(_staged_panel(spark, folder, MODEL_COLUMNS))
     encoders = fit_encoders(prepared)
     categories = encoders.categories()
-    return monthly_totals(
+    return feature_rows(
         encode(prepared, encoders, categories), ["sales", *encoded_feature_names(categories)]
     )
 
@@ -355,10 +350,8 @@ def encoded_pooled(spark: SparkSession, folder: str) -> DataFrame:
     categories = encoding.one_hot_categories(one_hot)
     encoded = encoding.apply_one_hot(rows, one_hot, categories, keys=[])
     encoded = encoding.apply_target_encoding(encoded, target, POOLED_CATEGORIES, keys=[])
-    names = [
-        f"{c}_{v}" for c in ("event_name_1", "event_type_1", "weekday") for v in categories[c]
-    ] + [f"{c}_te" for c in POOLED_CATEGORIES]
-    return monthly_totals(encoded, names)
+    names = encoding.one_hot_names(categories) + [f"{c}_te" for c in POOLED_CATEGORIES]
+    return feature_rows(encoded, names)
 
 
 def encoder_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
@@ -406,12 +399,20 @@ def ts_folds(spark: SparkSession, folder: str) -> DataFrame:
 
 # Training, scoring, forecasting
 
-_trained: dict[tuple[str, str, str], object] = {}
+_trained: dict[tuple, object] = {}
+
+
+def _version(spark: SparkSession, folder: str) -> int:
+    """Tells one state of the input's files from another."""
+    files = spark.read.parquet(f"{folder}/lineitem.parquet").select(
+        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
+    ).distinct()
+    return files.agg(F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()[0]
 
 
 def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], object]):
-    """Train once per application and folder, as a registry is: later queries load it."""
-    key = (spark.sparkContext.applicationId, folder, name)
+    """Train once per application and state of the input, as a registry is."""
+    key = (spark.sparkContext.applicationId, folder, _version(spark, folder), name)
     if key not in _trained:
         _trained[key] = make()
     return _trained[key]
@@ -426,8 +427,8 @@ def _new_path(spark: SparkSession, name: str) -> str:
 
 
 def _days_left(spark: SparkSession, folder: str):
-    """Days from a row's date to the last day of the calendar."""
-    last = retail.calendar(spark, folder).agg(F.max("date").alias("last")).scalar()
+    """Days from a row's date to the last day of the staged panel."""
+    last = _all_rows(spark, folder).agg(F.max("date").alias("last")).scalar()
     return F.date_diff(last, F.col("date"))
 
 
@@ -466,41 +467,106 @@ def _registry(spark: SparkSession, folder: str) -> Registry:
     return _once(spark, folder, "registry", make)
 
 
+GIVEN_WEIGHTS = {
+    "sales_rollmean_7": 0.25,
+    "sell_price_lag_1": 0.001,
+    "event_name_1_Christmas": 1.5,
+    "month_te": 0.1,
+}
+
+
+def _given_registry(spark: SparkSession, folder: str) -> Registry:
+    """Encoders fitted on the work rows, and models that plain statistics give.
+
+    Half the slope of sales on the sales a week before, its intercept, and fixed weights:
+    scoring and the recursion can be followed in SQL with these, over all series.
+    """
+
+    def make() -> Registry:
+        rows = prepare(work_rows(spark, folder))
+        week = F.col("sales_lag_7").cast("double")
+        sold = F.col("sales").cast("double")
+        fitted = rows.groupBy(*SERIES).agg(
+            F.round(F.coalesce(F.regr_slope(sold, week), F.lit(0.0)), 6).alias("slope"),
+            F.round(F.coalesce(F.regr_intercept(sold, week), F.avg(sold)), 6).alias("intercept"),
+            F.count("*").alias("rows"),
+        )
+        names = F.array(*[F.lit(n) for n in ("sales_lag_7", *GIVEN_WEIGHTS)])
+        weights = F.array(F.col("slope") / 2, *[F.lit(w) for w in GIVEN_WEIGHTS.values()])
+        models = fitted.select(*SERIES, names.alias("features"), weights.alias("weights"), "intercept", "rows")
+        return Registry(fit_encoders(rows), stage(models, "models"))
+
+    return _once(spark, folder, "given-registry", make)
+
+
+def _left_gradients(spark: SparkSession, folder: str, models: DataFrame) -> DataFrame:
+    """How far each weight of each series is from the optimum of its penalised loss.
+
+    The optimum of ridge is unique, and there the slope of the loss is zero: the covariance
+    of a feature with what is left over, less the penalty on its weight, both for features
+    of unit deviation.
+    """
+    ready = _training_set(spark, folder)
+    position = {f: i for i, f in enumerate(ready.features)}
+    aligned = aligned_models(models, ready.features)
+    fitted = linear_score([F.col(f).cast("double") for f in ready.features])
+    left = ready.encoded.join(aligned, SERIES).select(
+        *SERIES,
+        (F.col("sales") - fitted).alias("left"),
+        F.posexplode(F.array(*[F.col(f).cast("double") for f in ready.features])).alias("at", "x"),
+    )
+    slopes = left.groupBy(*SERIES, "at").agg(
+        F.covar_pop("left", "x").alias("slope"), F.stddev_pop("x").alias("deviation")
+    )
+    own = models.select(*SERIES, "l2", F.posexplode(F.arrays_zip("features", "weights")).alias("place", "w")).select(
+        *SERIES, "l2", "place", "w.*"
+    )
+    index = F.create_map(*[F.lit(x) for pair in position.items() for x in pair])
+    joined = own.withColumn("at", index[F.col("features")]).join(slopes, [*SERIES, "at"])
+    penalty = F.col("l2") * F.col("weights") * F.col("deviation")
+    gradient = F.when(F.col("deviation") > 1e-12, F.col("slope") / F.col("deviation") - penalty).otherwise(F.col("weights"))
+    return P.with_series_id(joined).select(
+        "series_id", F.col("place").alias("rank"), F.col("features").alias("feature"),
+        F.abs(F.round(gradient, 6)).alias("gradient"),
+    )
+
+
 def hyper_search(spark: SparkSession, folder: str) -> DataFrame:
     ready = _training_set(spark, folder)
     return search(ready.encoded, ready.selected, ready.features)
 
 
 def train_per_series(spark: SparkSession, folder: str) -> DataFrame:
-    return P.with_series_id(_registry(spark, folder).models).drop(*SERIES)
+    """The selected features of every series in rank order, each with what is left to gain
+    by its fitted weight; the model table itself is what `train` returns."""
+    return _left_gradients(spark, folder, _registry(spark, folder).models)
 
 
 def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = _new_path(spark, "registry")
     _registry(spark, folder).save(path)
-    return P.with_series_id(Registry.load(spark, path).models).drop(*SERIES)
+    return _left_gradients(spark, folder, Registry.load(spark, path).models)
 
 
 def score_one_day(spark: SparkSession, folder: str) -> DataFrame:
-    return forecasting.score_one_day(production_rows(spark, folder), _registry(spark, folder))
+    return forecasting.score_one_day(production_rows(spark, folder), _given_registry(spark, folder))
 
 
 def evaluate_holdout(spark: SparkSession, folder: str) -> DataFrame:
-    return forecasting.evaluate(holdout_rows(spark, folder), _registry(spark, folder))
+    return forecasting.evaluate(holdout_rows(spark, folder), _given_registry(spark, folder))
 
 
 def fit_vs_actual(spark: SparkSession, folder: str) -> DataFrame:
     prepared = prepare(work_rows(spark, folder))
-    return forecasting.fit_versus_actual(prepared, _registry(spark, folder)).drop(*SERIES)
+    return forecasting.fit_versus_actual(prepared, _given_registry(spark, folder)).drop(*SERIES)
 
 
 def recursive_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    return forecasting.recursive_forecast(production_rows(spark, folder), _registry(spark, folder))
+    return forecasting.recursive_forecast(production_rows(spark, folder), _given_registry(spark, folder))
 
 
-def _naive(spark: SparkSession, folder: str) -> DataFrame:
+def _naive(rows: DataFrame) -> DataFrame:
     """Forecast by the mean of the 15 days before, cut to whole units."""
-    rows = retail.panel(spark, folder).select(*KEY, "sales")
     rolled = features.add_rolling(rows, (SALES_LAGS,))
     known = rolled.where(F.col(f"sales_rollmean_{SALES_LAGS}").isNotNull())
     return known.select(
@@ -509,12 +575,15 @@ def _naive(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def mae(spark: SparkSession, folder: str) -> DataFrame:
-    return mean_absolute_error(_naive(spark, folder))
+    return mean_absolute_error(_naive(retail.panel(spark, folder).select(*KEY, "sales")))
 
 
 def apply_forecast(spark: SparkSession, folder: str) -> DataFrame:
-    forecast = _naive(spark, folder).where(_days_left(spark, folder) < HORIZON)
-    return P.overwrite_sales(retail.panel(spark, folder).select(*KEY, "sales"), forecast)
+    totals = retail.day_totals(spark, folder)
+    last = totals.agg(F.max("date").alias("last")).scalar()
+    rows = stage(retail.panel_of(totals).select(*KEY, "sales"), "panel")
+    forecast = _naive(rows).where(F.date_diff(last, F.col("date")) < HORIZON)
+    return P.overwrite_sales(rows, forecast)
 
 
 # Files

@@ -3,18 +3,19 @@
 The state is kept per series unless other keys are given; no keys at all means
 one state for the whole table. The long table (keys, variable, category, ...) is what
 is stored. To apply it, each key's categories are folded into one row, so a table
-is encoded with a single join on its own series key.
+is encoded with a single join on its own series key. A state without keys is joined on the
+category, so no task ever holds all of a column's categories.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfcast.operators.quality import stacked
 from shelfcast.schema import SERIES, TARGET
-
-MOST_ONE_HOT_COLUMNS = 1000
+from shelfcast.session import stage
 
 
 def fit_one_hot(df: DataFrame, columns: list[str], keys: list[str] = SERIES) -> DataFrame:
@@ -24,25 +25,68 @@ def fit_one_hot(df: DataFrame, columns: list[str], keys: list[str] = SERIES) ->
 
 
 def one_hot_categories(state: DataFrame) -> dict[str, list[str]]:
-    """Categories that become columns; refused where there are too many for columns."""
-    pairs = state.select("variable", "category").distinct().limit(MOST_ONE_HOT_COLUMNS + 1).collect()
-    if len(pairs) > MOST_ONE_HOT_COLUMNS:
-        raise ValueError(f"more than {MOST_ONE_HOT_COLUMNS} one-hot columns")
+    """The categories a caller wants as named columns, in order.
+
+    Named columns are a view for models that ask for them; `encode_positions` keeps the
+    width of the block in the data, for categories of any number.
+    """
+    pairs = state.select("variable", "category").distinct().collect()
     found: dict[str, list[str]] = {}
     for column, category in sorted((p["variable"], p["category"]) for p in pairs):
         found.setdefault(column, []).append(category)
     return found
 
 
+def category_positions(state: DataFrame) -> DataFrame:
+    """A position for each (variable, category): its place in the one-hot block.
+
+    Positions count on from one variable to the next. The order inside a variable is
+    settled over ranges of categories, so no task holds them all.
+    """
+    pairs = state.select("variable", "category").distinct()
+    ordered = pairs.repartitionByRange("variable", "category").sortWithinPartitions("variable", "category")
+    placed = stage(ordered.select("*", F.spark_partition_id().alias("_part"), F.monotonically_increasing_id().alias("_id")), "categories")
+    parts = placed.groupBy("_part").agg(F.count("*").alias("_n"), F.min("_id").alias("_first"))
+    # One row per partition.
+    before = F.coalesce(F.sum("_n").over(W.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    starts = parts.select("_part", "_first", before.alias("_before"))
+    at = F.col("_before") + F.col("_id") - F.col("_first")
+    return placed.join(starts, "_part").select("variable", "category", at.alias("position"))
+
+
+def encode_positions(df: DataFrame, state: DataFrame, columns: list[str], keys: list[str] = SERIES) -> DataFrame:
+    """One column `one_hot`, the positions of the ones in a row's block, in order.
+
+    A category its key has not seen gives none.
+    """
+    positions = category_positions(state)
+    found = []
+    for column in columns:
+        seen = state.where(F.col("variable") == column).select(*keys, "category").distinct()
+        part = seen.join(positions.where(F.col("variable") == column), "category")
+        df = _join_category(df, part, column, keys, {"position": f"_at_{column}"})
+        found.append(F.col(f"_at_{column}"))
+    block = F.array_sort(F.array_compact(F.array(*found))).alias("one_hot")
+    return df.select(*[c for c in df.columns if not c.startswith("_at_")], block)
+
+
 def one_hot_names(categories: dict[str, list[str]]) -> list[str]:
     return [f"{column}_{v}" for column, values in categories.items() for v in values]
 
 
-def _attach(df: DataFrame, folded: DataFrame, keys: list[str]) -> DataFrame:
-    if keys:
-        return df.join(folded, keys, "left")
-    # Without keys the folded state is a single row, read as scalar subqueries.
-    return df.withColumns({c: folded.select(c).scalar() for c in folded.columns})
+def _join_category(
+    df: DataFrame, state: DataFrame, column: str, keys: list[str], values: dict[str, str]
+) -> DataFrame:
+    """`df` with the state's values of a row's own category, under the given names."""
+    part = state.select(
+        *[F.col(k).alias(f"_key_{k}") for k in keys],
+        F.col("category").alias("_category"),
+        *[F.col(c).alias(name) for c, name in values.items()],
+    )
+    same = F.col("_category") == F.col(column).cast("string")
+    for k in keys:
+        same = same & (F.col(f"_key_{k}") == F.col(k))
+    return df.join(part, same, "left").drop("_category", *[f"_key_{k}" for k in keys])
 
 
 def folded_one_hot(state: DataFrame, columns: list[str], keys: list[str] = SERIES) -> DataFrame:
@@ -59,17 +103,21 @@ def apply_one_hot(
     df: DataFrame, state: DataFrame, categories: dict[str, list[str]], keys: list[str] = SERIES
 ) -> DataFrame:
     """0/1 columns; a category its key has not seen gives zeros everywhere."""
+    if not keys:
+        rows = df
+        for column in categories:
+            seen = state.where(F.col("variable") == column).select("category").distinct().withColumn("_one", F.lit(True))
+            rows = _join_category(rows, seen, column, [], {"_one": f"_seen_{column}"})
+        known = {c: F.col(f"_seen_{c}") for c in categories}
+        seen_by = {(c, v): known[c] for c, values in categories.items() for v in values}
+    else:
+        rows = df.join(folded_one_hot(state, list(categories), keys), keys, "left")
+        seen_by = {(c, v): F.array_contains(f"_seen_{c}", v) for c, values in categories.items() for v in values}
     flags = [
-        F.coalesce(
-            (F.col(column).cast("string") == v) & F.array_contains(f"_seen_{column}", v), F.lit(False)
-        )
-        .cast("double")
-        .alias(f"{column}_{v}")
-        for column, values in categories.items()
-        for v in values
+        F.coalesce((F.col(column).cast("string") == v) & seen, F.lit(False)).cast("double").alias(f"{column}_{v}")
+        for (column, v), seen in seen_by.items()
     ]
-    folded = folded_one_hot(state, list(categories), keys)
-    return _attach(df, folded, keys).select(*df.columns, *flags)
+    return rows.select(*df.columns, *flags)
 
 
 def fit_target_encoding(
@@ -96,7 +144,9 @@ def fit_target_encoding(
     weight = 1 / (1 + F.exp(-(F.col("n") - min_samples) / smoothing))
     mean = F.col("total") / F.col("n")
     blended = F.col("prior") * (1 - weight) + mean * weight
-    return _attach(stats, prior, keys).select(
+    # Without keys the prior is one number.
+    with_prior = stats.join(prior, keys, "left") if keys else stats.withColumn("prior", prior.scalar())
+    return with_prior.select(
         *keys,
         "variable",
         F.col("value").alias("category"),
@@ -123,9 +173,14 @@ def apply_target_encoding(
     df: DataFrame, state: DataFrame, columns: list[str], keys: list[str] = SERIES
 ) -> DataFrame:
     """One `<column>_te` column each; an unseen category gets the prior."""
-    encoded = [
-        F.coalesce(F.col(f"_map_{c}")[F.col(c).cast("string")], F.col("_prior")).alias(f"{c}_te")
-        for c in columns
-    ]
-    folded = folded_target_encoding(state, columns, keys)
-    return _attach(df, folded, keys).select(*df.columns, *encoded)
+    if keys:
+        codes = {c: F.col(f"_map_{c}")[F.col(c).cast("string")] for c in columns}
+        rows, prior = df.join(folded_target_encoding(state, columns, keys), keys, "left"), F.col("_prior")
+    else:
+        rows, codes = df, {c: F.col(f"_code_{c}") for c in columns}
+        for c in columns:
+            known = state.where((F.col("variable") == c) & F.col("category").isNotNull())
+            rows = _join_category(rows, known, c, [], {"encoding": f"_code_{c}"})
+        prior = state.agg(F.max("prior")).scalar()
+    encoded = [F.coalesce(code, prior).alias(f"{c}_te") for c, code in codes.items()]
+    return rows.select(*df.columns, *encoded)

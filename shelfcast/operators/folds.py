@@ -12,6 +12,14 @@ FOLDS = 5
 TEST_ROWS = 8
 
 
+def fold_bounds(rows: int, folds: int = FOLDS, test_rows: int = TEST_ROWS) -> list[tuple[int, int]]:
+    """Where the test block of each fold starts and ends, in rows by date; fold 0 is the
+    newest, and a fold without rows to learn from is left out. `time_folds` deals the same
+    folds out as rows."""
+    ends = [rows - fold * test_rows for fold in range(folds)]
+    return [(end - test_rows, end) for end in ends if end - test_rows >= 1]
+
+
 def with_recency(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
     """Number the rows of a series from the newest, starting at 1."""
     newest = W.partitionBy(*keys).orderBy(F.col("date").desc())

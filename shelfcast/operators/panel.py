@@ -24,19 +24,21 @@ def melt_days(wide: DataFrame, ids: list[str], name: str = "d", value: str = "sa
     )
 
 
-def spread(df: DataFrame, keys: list[str] = SERIES) -> DataFrame:
-    """Spread series over the session's shuffle partitions.
+def spread(df: DataFrame, keys: list[str] = SERIES, partitions: int | None = None) -> DataFrame:
+    """Spread series over partitions: so many, or what adaptive execution makes of them."""
+    return df.repartition(partitions, *keys) if partitions else df.repartition(*keys)
 
-    The number is given on purpose: adaptive execution would size the partitions
-    by the few sparse rows that enter, not by the dense, wide rows that leave.
-    """
-    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return df.repartition(partitions, *keys)
+
+DENSE_ROWS = 40_000
+"""Dense rows a task of `densify` makes, about; a series stays in one task."""
 
 
 def densify(daily: DataFrame, days: DataFrame, keys: list[str] = SERIES) -> DataFrame:
     """Give every series a row for every day of the calendar, zero where none sold.
 
+    The number of partitions follows the rows that come out, series times days: adaptive
+    execution would size them by the few sparse rows that enter.
+
     Each row is stretched to the day before the next one, so the gaps are filled
     inside the series' own partition: no series-by-day product is joined, and the
     result stays partitioned by the series for the windows that follow.
@@ -44,7 +46,9 @@ def densify(daily: DataFrame, days: DataFrame, keys: list[str] = SERIES) -> Data
     first = days.agg(F.min("date").alias("first")).scalar()
     last = days.agg(F.max("date").alias("last")).scalar()
     order = W.partitionBy(*keys).orderBy("date")
-    inside = spread(daily.where(F.col("date").between(first, last)), keys)
+    series = daily.select(*keys).distinct().count()
+    partitions = max(1, min(series, -(-series * days.count() // DENSE_ROWS)))
+    inside = spread(daily.where(F.col("date").between(first, last)), keys, partitions)
     stretched = inside.select(
         *keys,
         "date",
@@ -104,18 +108,29 @@ def with_series_id(df: DataFrame) -> DataFrame:
     return df.withColumn("series_id", F.concat_ws("_", *SERIES))
 
 
-def split_series_id(df: DataFrame, store_width: int) -> DataFrame:
-    """Undo the key where all stores have names of the same length."""
-    return df.withColumns(
-        {
-            "store_id": F.substring("series_id", 1, store_width),
-            "item_id": F.expr(f"substring(series_id, {store_width + 2})"),
-        }
+def split_series_id(df: DataFrame, stores: DataFrame) -> DataFrame:
+    """Undo the key: cut it behind the store it begins with.
+
+    Store names may hold the separator themselves, so the cut is looked up: a key is offered
+    at each of its separators, and joins where the part before is a store. Of several such
+    stores the longest is taken.
+    """
+    parts = F.split("series_id", "_")
+    cuts = F.sequence(F.lit(1), F.size(parts) - 1)
+    offered = df.where(F.size(parts) > 1).select("*", F.explode(cuts).alias("_cut"))
+    cut = offered.select(
+        *df.columns,
+        F.array_join(F.slice(parts, 1, F.col("_cut")), "_").alias("store_id"),
+        F.array_join(F.slice(parts, F.col("_cut") + 1, F.size(parts)), "_").alias("item_id"),
     )
+    known = cut.join(stores.select("store_id").distinct(), "store_id", "left_semi")
+    best = F.max_by(F.struct("store_id", "item_id"), F.length("store_id")).alias("_best")
+    return known.groupBy(*df.columns).agg(best).select(*df.columns, "_best.*")
 
 
-def drop_oldest_day(df: DataFrame) -> DataFrame:
-    oldest = df.agg(F.min("date").alias("oldest")).scalar()
+def drop_oldest_day(df: DataFrame, oldest: Column | None = None) -> DataFrame:
+    """All days but the first; a caller that knows it spares a pass."""
+    oldest = df.agg(F.min("date").alias("oldest")).scalar() if oldest is None else oldest
     return df.where(F.col("date") > oldest)
 
 

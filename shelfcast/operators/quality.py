@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
@@ -52,10 +54,24 @@ def profile_columns(df: DataFrame) -> DataFrame:
     )
 
 
-def duplicate_rows(df: DataFrame, columns: list[str]) -> DataFrame:
-    """How many rows repeat an earlier row in the given columns."""
-    groups = df.groupBy(*columns).agg(F.count("*").alias("n"))
-    return groups.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("duplicates"))
+def duplicate_rows(df: DataFrame, compared: dict[str, list[str]]) -> DataFrame:
+    """How many rows repeat an earlier row in the columns of each comparison.
+
+    The rows are read once and grouped by the columns of all comparisons; each comparison
+    then groups those counts further, by its own columns.
+    """
+    every = [c for c in df.columns if any(c in columns for columns in compared.values())]
+    groups = df.groupBy(*every).agg(F.count("*").alias("_n"))
+    if len(compared) > 1:
+        groups = stage(groups, "row-groups")
+    parts = [
+        groups.groupBy(*columns)
+        .agg(F.sum("_n").alias("_n"))
+        .agg(F.coalesce(F.sum(F.col("_n") - 1), F.lit(0)).alias("duplicates"))
+        .withColumn("compared", F.lit(name))
+        for name, columns in compared.items()
+    ]
+    return reduce(DataFrame.unionByName, parts)
 
 
 def cross_table(df: DataFrame, rows: str, columns: str, labels: list[str]) -> DataFrame:
@@ -81,7 +97,11 @@ def counts_by(df: DataFrame, *columns: str) -> DataFrame:
 QUARTILES = (0.25, 0.5, 0.75)
 
 
-def quantiles(counts: DataFrame, probabilities: tuple[float, ...], cells: int = 128) -> DataFrame:
+CELL_VALUES = 100_000
+"""Distinct values a cell of `quantiles` holds, about."""
+
+
+def quantiles(counts: DataFrame, probabilities: tuple[float, ...], cells: int | None = None) -> DataFrame:
     """Exact, linearly interpolated quantiles from (variable, value, n) rows.
 
     The distinct values of a variable are cut into about equal cells along an
@@ -91,6 +111,11 @@ def quantiles(counts: DataFrame, probabilities: tuple[float, ...], cells: int =
     points give the same exact answer.
     """
     counts = counts.where(F.col("value").isNotNull())
+    if cells is None:
+        # As many as the values of the widest variable need, and enough for all tasks.
+        tasks = int(counts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+        widest = counts.groupBy("variable").count().agg(F.max("count")).first()[0] or 0
+        cells = max(2, min(tasks, widest), -(-widest // CELL_VALUES))
     steps = [i / cells for i in range(1, cells)]
     cuts = counts.groupBy("variable").agg(F.percentile_approx("value", steps, 10000).alias("cuts"))
     known = {r["variable"]: sorted(set(r["cuts"])) for r in cuts.collect()}
@@ -180,26 +205,37 @@ def numeric_summary(df: DataFrame, columns: list[str]) -> DataFrame:
     )
 
 
-def outlier_bounds(df: DataFrame, columns: list[str], deviations: float = 4) -> DataFrame:
-    """Mean plus and minus so many population deviations, per column."""
-    spread = F.stddev_pop("value") * deviations
+def _bounds_of(counts: DataFrame, deviations: float) -> DataFrame:
+    """Bounds per variable from its distinct values and how often each occurs."""
+    known = counts.where(F.col("value").isNotNull())
+    means = known.groupBy("variable").agg(
+        (F.sum(F.col("value") * F.col("n")) / F.sum("n")).alias("mean"), F.sum("n").alias("rows")
+    )
+    # One row per column that was asked for.
+    squares = F.sum(F.col("n") * F.pow(F.col("value") - F.col("mean"), 2))
+    spread = F.sqrt(squares / F.col("rows")) * deviations
     return (
-        stacked(df, columns, "double")
-        .groupBy("variable")
-        .agg(
-            F.avg("value").alias("mean"),
-            (F.avg("value") - spread).alias("lower"),
-            (F.avg("value") + spread).alias("upper"),
-        )
+        known.join(F.broadcast(means), "variable")
+        .groupBy("variable", "mean", "rows")
+        .agg(spread.alias("spread"))
+        .select("variable", "mean", (F.col("mean") - F.col("spread")).alias("lower"), (F.col("mean") + F.col("spread")).alias("upper"))
     )
 
 
+def outlier_bounds(df: DataFrame, columns: list[str], deviations: float = 4) -> DataFrame:
+    """Mean plus and minus so many population deviations, per column."""
+    return _bounds_of(stage(value_counts(df, columns, "double"), "value-counts"), deviations)
+
+
 def outlier_counts(df: DataFrame, columns: list[str], deviations: float = 4) -> DataFrame:
-    """How often each value outside the bounds occurs."""
-    bounds = outlier_bounds(df, columns, deviations)
+    """How often each value outside the bounds occurs.
+
+    The table is read once, to count its values. Bounds are one row per column, so the
+    counts stay where they are.
+    """
+    counts = stage(value_counts(df, columns, "double"), "value-counts")
     return (
-        value_counts(df, columns, "double")
-        .join(bounds, "variable")
+        counts.join(F.broadcast(_bounds_of(counts, deviations)), "variable")
         .where((F.col("value") < F.col("lower")) | (F.col("value") > F.col("upper")))
         .select("variable", "value", "n")
     )
@@ -239,8 +275,13 @@ def fill_by_mode(
     )
 
 
+def as_categories(df: DataFrame, columns: list[str] = CATEGORICAL_INTEGERS) -> DataFrame:
+    """Integer codes turned into the categories they stand for."""
+    return df.withColumns({c: F.col(c).cast("string") for c in columns if c in df.columns})
+
+
 def clean(df: DataFrame) -> DataFrame:
-    """No null event names, no null prices, integer codes kept as they are."""
+    """No null event names, no null prices; integer codes are left to `as_categories`."""
     events = [c for c in ("event_name_1", "event_type_1") if c in df.columns]
     dropped = [c for c in ("event_name_2", "event_type_2") if c in df.columns]
     return fill_by_mode(fill_events(df.drop(*dropped), events))

@@ -14,7 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.operators.folds import FOLDS, TEST_ROWS
+from shelfcast.operators.folds import FOLDS, TEST_ROWS, fold_bounds
 from shelfcast.operators.panel import with_series_id
 from shelfcast.schema import SERIES, TARGET
 
@@ -38,32 +38,38 @@ def draw_candidates(
     return random.Random(seed).sample(points, n_iter)
 
 
+class _Ridge:
+    """Ridge fits of the same rows for any penalty, from one decomposition."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray):
+        self.centre, self.mean = x.mean(axis=0), y.mean()
+        scale = x.std(axis=0)
+        self.scale = np.where(scale > 1e-12, scale, np.inf)
+        z = (x - self.centre) / self.scale
+        self.values, self.vectors = np.linalg.eigh(z.T @ z / len(y))
+        self.turned = self.vectors.T @ (z.T @ (y - self.mean) / len(y))
+
+    def solve(self, l2: float) -> tuple[np.ndarray, float]:
+        """Weights on the original scale of x, and the intercept."""
+        weights = self.vectors @ (self.turned / (self.values + l2)) / self.scale
+        return weights, float(self.mean - self.centre @ weights)
+
+
 def _solve(x: np.ndarray, y: np.ndarray, l2: float) -> tuple[np.ndarray, float]:
-    """Ridge weights on the original scale of x, and the intercept."""
-    centre, scale = x.mean(axis=0), x.std(axis=0)
-    scale = np.where(scale > 1e-12, scale, np.inf)
-    z = (x - centre) / scale
-    gram = z.T @ z / len(y) + l2 * np.eye(x.shape[1])
-    weights = np.linalg.solve(gram, z.T @ (y - y.mean()) / len(y)) / scale
-    return weights, float(y.mean() - centre @ weights)
+    return _Ridge(x, y).solve(l2)
 
 
 def _search(
     x: np.ndarray, y: np.ndarray, candidates: list[dict[str, float]], folds: int, test_rows: int
 ) -> list[tuple[float, float, int]]:
     """(l2, mean absolute error over the folds, folds used); x and y in date order."""
-    results = []
-    for candidate in candidates:
-        errors = []
-        for fold in range(folds):
-            end = len(y) - fold * test_rows
-            start = end - test_rows
-            if start < 1:
-                break
-            weights, intercept = _solve(x[:start], y[:start], candidate["l2"])
-            errors.append(np.abs(x[start:end] @ weights + intercept - y[start:end]).mean())
-        results.append((candidate["l2"], float(np.mean(errors)) if errors else None, len(errors)))
-    return results
+    errors: list[list[float]] = [[] for _ in candidates]
+    for start, end in fold_bounds(len(y), folds, test_rows):
+        fit = _Ridge(x[:start], y[:start])
+        for candidate, found in zip(candidates, errors):
+            weights, intercept = fit.solve(candidate["l2"])
+            found.append(np.abs(x[start:end] @ weights + intercept - y[start:end]).mean())
+    return [(c["l2"], float(np.mean(e)) if e else None, len(e)) for c, e in zip(candidates, errors)]
 
 
 def _matrix(rows: pd.DataFrame, chosen: pd.DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -148,17 +154,19 @@ def linear_score(values: list[Column]) -> Column:
     return score
 
 
-def score(encoded: DataFrame, models: DataFrame, features: list[str]) -> DataFrame:
-    """Predict every row with the model of its series; a series without one is left out.
+def whole_units(score: Column) -> Column:
+    """Cut towards zero; the last digits of a sum of fractions do not decide a unit."""
+    return F.round(score, 6).cast("int")
 
-    Predictions are cut to whole units, towards zero.
-    """
-    joined = encoded.join(aligned_models(models, features), SERIES)
-    prediction = linear_score([F.col(f) for f in features]).cast("int")
+
+def score(encoded: DataFrame, models: DataFrame, features: list[str]) -> DataFrame:
+    """Predict every row with the model of its series; null for a series without one."""
+    joined = encoded.join(aligned_models(models, features), SERIES, "left")
+    prediction = whole_units(linear_score([F.col(f) for f in features]))
     return with_series_id(joined).select(*SERIES, "series_id", "date", TARGET, prediction.alias("prediction"))
 
 
 def mean_absolute_error(scored: DataFrame) -> DataFrame:
-    return scored.agg(
+    return scored.where(F.col("prediction").isNotNull()).agg(
         F.avg(F.abs(F.col(TARGET) - F.col("prediction"))).alias("mae"), F.count("*").alias("rows")
     )

@@ -110,13 +110,9 @@ def _rolling() -> str:
     return ", ".join(parts)
 
 
-def _monthly(names: list[str], source: str) -> str:
-    totals = ", ".join(f'round(sum(CAST("{n}" AS DOUBLE)), 6) AS "{n}"' for n in names)
-    return (
-        "SELECT store_id, item_id, CAST(year(date) AS INTEGER) AS in_year, "
-        f"CAST(month(date) AS INTEGER) AS in_month, count(*) AS rows, {totals} "
-        f"FROM {source} GROUP BY store_id, item_id, year(date), month(date)"
-    )
+def _rows(names: list[str], source: str) -> str:
+    values = ", ".join(f'round(CAST("{n}" AS DOUBLE), 6) AS "{n}"' for n in names)
+    return f"SELECT store_id, item_id, date, {values} FROM {source}"
 
 
 WINDOW = "WINDOW w AS (PARTITION BY store_id, item_id ORDER BY date)"
@@ -253,12 +249,13 @@ def _pooled() -> str:
     hot = [("event_name_1", e) for e in EVENTS]
     hot += [("event_type_1", e) for e in ("Cultural", "National", "Sin_evento")]
     hot += [("weekday", d) for d in WEEKDAYS]
+    hot += [("year", y) for y in range(1995, 2002)] + [("month", m) for m in range(1, 13)] + [("wday", d) for d in range(1, 8)]
     flags = ", ".join(f"""CASE WHEN s.{c} = '{v}' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS "{c}_{v}" """ for c, v in hot)
     names = [f"{c}_{v}" for c, v in hot] + [f"{c}_te" for c in POOLED]
     return (
         f"{BASE}{FILLED}, te AS ({_target_state('filled', POOLED, keys='')}), "
         f"encoded AS (SELECT s.store_id, s.item_id, s.date, {flags}, {values} FROM filled s {joins}) "
-        + _monthly(names, "encoded")
+        + _rows(names, "encoded")
     )
 
 
@@ -269,7 +266,125 @@ NAIVE = """, naive AS (
     WINDOW f AS (PARTITION BY store_id, item_id ORDER BY date ROWS BETWEEN 15 PRECEDING AND 1 PRECEDING))
   WHERE m IS NOT NULL)"""
 
+
+
+def _prepared(name: str, rows: str) -> str:
+    """Rows of the panel, cleaned by themselves, and their features: <name>_clean, <name>_features."""
+    return f""", {name}_panel AS (SELECT panel.* {rows}),
+{name}_modes AS (
+  SELECT item_id, sell_price AS mode_price FROM (
+    SELECT item_id, sell_price, row_number() OVER (PARTITION BY item_id ORDER BY count(*) DESC, sell_price) AS rn
+    FROM {name}_panel WHERE sell_price IS NOT NULL GROUP BY item_id, sell_price) WHERE rn = 1),
+{name}_clean AS (
+  SELECT p.* EXCLUDE (sell_price, event_name_1), coalesce(sell_price, mode_price) AS sell_price,
+    coalesce(event_name_1, 'Sin_evento') AS event_name_1
+  FROM {name}_panel p LEFT JOIN {name}_modes USING (item_id))
+""" + FEATURE_ROWS.replace("features AS", f"{name}_features AS").replace("FROM clean", f"FROM {name}_clean")
+
+
+LEFT_DAYS = "date_diff('day', panel.date, hi)"
+WORK = _prepared("work", f"FROM panel, bounds WHERE {LEFT_DAYS} >= 31")
+FRAME = f"* REPLACE (CASE WHEN {LEFT_DAYS} < 8 THEN 0 ELSE sales END AS sales) FROM panel, bounds WHERE {LEFT_DAYS} < 23"
+GIVEN = (
+    WORK
+    + f""", te AS ({_target_state("work_features", TE_COLUMNS)}),
+given AS (
+  SELECT store_id, item_id, round(coalesce(regr_slope(sales, sales_lag_7), 0), 6) AS slope,
+    round(coalesce(regr_intercept(sales, sales_lag_7), avg(sales)), 6) AS intercept
+  FROM work_features GROUP BY ALL),
+priors AS (SELECT DISTINCT store_id, item_id, prior FROM te),
+seen AS (SELECT DISTINCT store_id, item_id, event_name_1 FROM work_features)"""
+)
+
+
+def _predicted(lag: str, mean: str, price: str, event: str, month: str) -> str:
+    """The given model of a series: aliases g (given), p (priors), t (te), e (seen)."""
+    return (
+        f"CAST(trunc(round(g.intercept + g.slope / 2 * {lag} + 0.25 * {mean} + 0.001 * {price} "
+        f"+ CASE WHEN {event} = 'Christmas' AND e.event_name_1 IS NOT NULL THEN 1.5 ELSE 0 END "
+        f"+ 0.1 * coalesce(t.encoding, p.prior), 6)) AS INTEGER)"
+    )
+
+
+def _given_joins(event: str, month: str) -> str:
+    same = "{0}.store_id = f.store_id AND {0}.item_id = f.item_id"
+    return (
+        f"LEFT JOIN given g ON {same.format('g')} LEFT JOIN priors p ON {same.format('p')} "
+        f"LEFT JOIN te t ON {same.format('t')} AND t.variable = 'month' AND t.category = CAST({month} AS VARCHAR) "
+        f"LEFT JOIN seen e ON {same.format('e')} AND e.event_name_1 = {event}"
+    )
+
+
+def _scored(source: str) -> str:
+    value = _predicted("f.sales_lag_7", "f.sales_rollmean_7", "f.sell_price_lag_1", "f.event_name_1", "f.month")
+    return (
+        f"SELECT f.store_id || '_' || f.item_id AS series_id, f.date, f.sales, {value} AS prediction "
+        f"FROM {source} f {_given_joins('f.event_name_1', 'f.month')}"
+    )
+
+
+def _oldest(source: str) -> str:
+    return f"(SELECT * FROM {source} WHERE date = (SELECT min(date) FROM {source}))"
+
+
+def _forecast() -> str:
+    """Eight steps, each a table of its own: the days so far and the one predicted."""
+    steps = [
+        f""", frame AS (
+  SELECT store_id, item_id, date, event_name_1, month, sell_price, wday, weekday, sales,
+    CAST(date_diff('day', (SELECT min(date) FROM day_panel), date) AS INTEGER) AS pos
+  FROM day_panel),
+so_far_0 AS (SELECT store_id, item_id, pos, CAST(sales AS INTEGER) AS sold FROM frame WHERE pos < 15)"""
+    ]
+    for s in range(8):
+        value = _predicted("b.lag", "b.mean", f"coalesce(f.price, m.mode_price)", "f.event", "f.month")
+        steps.append(
+            f""", modes_{s} AS (
+  SELECT item_id, sell_price AS mode_price FROM (
+    SELECT item_id, sell_price, row_number() OVER (PARTITION BY item_id ORDER BY count(*) DESC, sell_price) AS rn
+    FROM frame WHERE sell_price IS NOT NULL AND pos >= {s} GROUP BY item_id, sell_price) WHERE rn = 1),
+before_{s} AS (
+  SELECT store_id, item_id, max(sold) FILTER (pos = {8 + s}) AS lag, avg(sold) FILTER (pos >= {8 + s}) AS mean
+  FROM so_far_{s} GROUP BY ALL),
+today_{s} AS (
+  SELECT store_id, item_id, max(sell_price) FILTER (pos = {14 + s}) AS price, max(month) FILTER (pos = {15 + s}) AS month,
+    coalesce(max(event_name_1) FILTER (pos = {15 + s}), 'Sin_evento') AS event FROM frame GROUP BY ALL),
+so_far_{s + 1} AS (
+  SELECT * FROM so_far_{s} UNION ALL
+  SELECT f.store_id, f.item_id, {15 + s}, {value}
+  FROM today_{s} f JOIN before_{s} b ON b.store_id = f.store_id AND b.item_id = f.item_id
+  LEFT JOIN modes_{s} m ON m.item_id = f.item_id {_given_joins("f.event", "f.month")})"""
+        )
+    return "".join(steps) + (
+        f" SELECT {', '.join('f.' + c for c in MODEL_COLUMNS.split(', ') if c != 'sales')}, s.sold AS sales, "
+        "CASE WHEN f.pos < 15 THEN 'known' ELSE 'forecast' END AS origin "
+        "FROM frame f JOIN so_far_8 s ON s.store_id = f.store_id AND s.item_id = f.item_id AND s.pos = f.pos WHERE f.pos >= 8"
+    )
+
+
+WORK_SCORES = SCORES.replace("FROM clean", "FROM work_clean")
+LEARNED = (
+    BASE
+    + WORK.split(", work_features AS")[0]
+    + WORK_SCORES
+    + """ SELECT store_id || '_' || item_id AS series_id, CAST(rank AS INTEGER) AS rank, feature, CAST(0 AS DOUBLE) AS gradient FROM (
+  SELECT *, row_number() OVER (PARTITION BY store_id, item_id ORDER BY round(mutual_information, 9) DESC, feature) - 1 AS rank
+  FROM scores) WHERE rank < 70"""
+)
+
 ORACLE: dict[str, str] = {
+    "train_per_series": LEARNED,
+    "model_roundtrip": LEARNED,
+    "score_one_day": BASE + GIVEN + _prepared("day", FRAME).replace("SELECT panel.* *", "SELECT panel.*") + f" {_scored(_oldest('day_features'))}",
+    "evaluate_holdout": BASE
+    + GIVEN
+    + _prepared("late", f"FROM panel, bounds WHERE {LEFT_DAYS} < 31")
+    + f" SELECT avg(abs(sales - prediction)) AS mae, count(*) AS rows FROM ({_scored(_oldest('late_features'))})",
+    "fit_vs_actual": BASE
+    + GIVEN
+    + ", newest AS (SELECT * FROM work_features QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) <= 100) "
+    + _scored("newest"),
+    "recursive_forecast": BASE + GIVEN + _prepared("day", FRAME).replace("SELECT panel.* *", "SELECT panel.*") + _forecast(),
     "src_tables": BASE
     + _union(
         [
@@ -295,8 +410,7 @@ WHERE date NOT IN (SELECT date FROM panel WHERE date < DATE '2000-12-01')""",
     "sorted_head": BASE
     + "SELECT store_id, item_id, wm_yr_wk, d, sell_price FROM panel ORDER BY store_id, item_id, wm_yr_wk, d LIMIT 10",
     "series_key": BASE
-    + """SELECT store_id, item_id, store_id || '_' || item_id AS series_id,
-  substring(store_id || '_' || item_id, 1, 4) AS first_4, substring(store_id || '_' || item_id, 6) AS from_6 FROM series""",
+    + "SELECT store_id, item_id, store_id || '_' || item_id AS series_id FROM series",
     "drop_oldest_day": BASE
     + "SELECT store_id, item_id, date, sales FROM panel WHERE date > (SELECT min(date) FROM panel)",
     "tail_per_series": BASE
@@ -319,7 +433,7 @@ UNION ALL SELECT 'all but the day', (SELECT count(*) FROM panel)
     + _union(
         [
             f"SELECT '{c}' AS variable, CAST({c} AS VARCHAR) AS value, count(*) AS n FROM panel GROUP BY {c}"
-            for c in [*CATEGORIES, "event_name_2", "event_type_2"]
+            for c in ["d", *CATEGORIES, "event_name_2", "event_type_2"]
         ]
     ),
     "event_crosstab": BASE
@@ -360,7 +474,8 @@ FROM panel WHERE event_name_1 IS NOT NULL AND event_name_2 IS NOT NULL GROUP BY
         ]
     ),
     "impute_mode_price": BASE + "SELECT store_id, item_id, date, sell_price FROM clean",
-    "clean_table": BASE + "SELECT * FROM clean",
+    "clean_table": BASE
+    + "SELECT * REPLACE (CAST(year AS VARCHAR) AS year, CAST(month AS VARCHAR) AS month, CAST(wday AS VARCHAR) AS wday) FROM clean",
     "category_frequencies": BASE
     + FILLED
     + " "
@@ -396,13 +511,13 @@ FROM panel WHERE event_name_1 IS NOT NULL AND event_name_2 IS NOT NULL GROUP BY
     )
     + " FROM panel",
     "lag_features": f"{BASE}, lagged AS (SELECT store_id, item_id, date, {_lags()}, {_flags()} FROM panel {WINDOW}) "
-    + _monthly(LAG_NAMES + FLAG_NAMES, "lagged"),
+    + _rows(LAG_NAMES + FLAG_NAMES, "lagged"),
     "rolling_features": f"{BASE}, rolled AS (SELECT store_id, item_id, date, {_rolling()} FROM panel) "
-    + _monthly(ROLL_NAMES, "rolled"),
+    + _rows(ROLL_NAMES, "rolled"),
     "features_full": BASE
     + FEATURE_ROWS
     + " "
-    + _monthly(["sales", *LAG_NAMES, *FLAG_NAMES, *ROLL_NAMES], "features"),
+    + _rows(["sales", *LAG_NAMES, *FLAG_NAMES, *ROLL_NAMES], "features"),
     "onehot_event": f"{BASE}{FILLED} " + _one_hot(" ".join(EVENTS), "filled", "filled"),
     "onehot_unseen": f"{BASE}{FILLED}, seen AS (SELECT * FROM filled WHERE month <= 6) "
     + _one_hot("NewYear Sin_evento", "filled", "seen"),
@@ -413,7 +528,7 @@ FROM panel WHERE event_name_1 IS NOT NULL AND event_name_2 IS NOT NULL GROUP BY
     "SELECT store_id, item_id, date, "
     + ", ".join(f"round({n}, 6) AS {n}" for n in TE_NAMES)
     + " FROM e",
-    "encoded_table": BASE + ENCODED_ROWS + " " + _monthly(["sales", *FEATURES], "encoded"),
+    "encoded_table": BASE + ENCODED_ROWS + " " + _rows(["sales", *FEATURES], "encoded"),
     "encoded_pooled": _pooled(),
     "encoder_roundtrip": f"{BASE}{FILLED}, te AS ({_target_state('filled', TE_COLUMNS)}) "
     f"SELECT store_id, item_id, variable, category, {ROUNDED_STATE} FROM te UNION ALL "
@@ -437,7 +552,7 @@ WHERE rd > 8 * fold GROUP BY ALL""",
     "apply_forecast": BASE
     + NAIVE
     + """ SELECT p.store_id, p.item_id, p.date, coalesce(n.prediction, p.sales) AS sales FROM panel p
-LEFT JOIN (SELECT * FROM naive WHERE date_diff('day', date, (SELECT max(date) FROM calendar)) < 8) n
+LEFT JOIN (SELECT naive.* FROM naive, bounds WHERE date_diff('day', date, hi) < 8) n
   ON n.store_id = p.store_id AND n.item_id = p.item_id AND n.date = p.date""",
     "csv_roundtrip": BASE + f"SELECT {MODEL_COLUMNS} FROM panel",
     "stage_roundtrip": BASE + "SELECT * FROM panel",

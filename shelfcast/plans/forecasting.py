@@ -8,12 +8,13 @@ from pyspark.sql import functions as F
 from shelfcast.functions.history import history_features
 from shelfcast.operators.encoding import folded_one_hot, folded_target_encoding
 from shelfcast.operators.features import feature_names
-from shelfcast.operators.panel import keep_oldest_day, last_rows, overwrite_sales
+from shelfcast.operators.panel import keep_oldest_day, last_rows
 from shelfcast.operators.training import (
     aligned_models,
     linear_score,
     mean_absolute_error,
     score,
+    whole_units,
 )
 from shelfcast.plans.preparation import encode, encoded_feature_names, prepare
 from shelfcast.plans.retraining import Registry
@@ -36,7 +37,7 @@ def score_rows(features: DataFrame, registry: Registry) -> DataFrame:
 
 
 def score_one_day(rows: DataFrame, registry: Registry) -> DataFrame:
-    """Predictions for the earliest day that has a full history."""
+    """Predictions for the earliest day that has a full history; null without a model."""
     return score_rows(keep_oldest_day(prepare(rows)), registry).drop(*SERIES)
 
 
@@ -126,7 +127,7 @@ def forecast_days(rows: DataFrame, registry: Registry, steps: int = HORIZON) ->
             ]
         for column in TARGET_ENCODED_COLUMNS:
             values.append(F.coalesce(F.try_element_at(f"_map_{column}", day[column]), F.col("_prior")))
-        return linear_score(values).cast("int")
+        return whole_units(linear_score(values))
 
     history = F.array(*[on(SALES_LAGS - k)["sales"] for k in range(1, SALES_LAGS + 1)])
     to_come = F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), day_to_come)
@@ -140,8 +141,27 @@ def forecast_days(rows: DataFrame, registry: Registry, steps: int = HORIZON) ->
     )
 
 
+KNOWN, FORECAST, NO_MODEL, GAP = "known", "forecast", "no model", "gap in history"
+
+
 def recursive_forecast(rows: DataFrame, registry: Registry, steps: int = HORIZON) -> DataFrame:
-    """The given rows with forecast days filled in and the oldest days dropped."""
+    """The given rows with forecast days filled in and the oldest days dropped.
+
+    `origin` tells what a sale is. A day to come that nothing could be forecast for has no
+    sale, whatever stood there, and says why: its series has no model, or a day of its
+    history is missing.
+    """
     first = rows.agg(F.min("date").alias("first")).scalar()
-    kept = rows.where(F.date_diff("date", first) >= steps)
-    return overwrite_sales(kept, forecast_days(rows, registry, steps))
+    placed = F.date_diff("date", first)
+    kept = rows.where(placed >= steps)
+    models = registry.models.select(*SERIES).distinct().withColumn("_model", F.lit(True))
+    joined = kept.join(forecast_days(rows, registry, steps), [*SERIES, "date"], "left").join(models, SERIES, "left")
+    to_come = placed >= SALES_LAGS
+    origin = (
+        F.when(~to_come, KNOWN)
+        .when(F.col("prediction").isNotNull(), FORECAST)
+        .when(F.col("_model").isNull(), NO_MODEL)
+        .otherwise(GAP)
+    )
+    sales = F.when(to_come, F.col("prediction")).otherwise(F.col("sales"))
+    return joined.withColumns({"origin": origin, "sales": sales}).select(*rows.columns, "origin")

@@ -39,10 +39,14 @@ def build_session(master: str, partitions: int, **extra: str) -> SparkSession:
 
 
 def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings to a session somebody else created."""
+    """A session of the same application with the settings; the caller's stays as it is."""
+    own = spark.newSession()
+    for key, value in spark.conf.getAll.items():
+        if key.startswith("spark.sql.") and spark.conf.isModifiable(key):
+            own.conf.set(key, value)
     for key, value in SETTINGS.items():
-        spark.conf.set(key, value)
-    return spark
+        own.conf.set(key, value)
+    return own
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -76,3 +80,10 @@ def stage(df: DataFrame, name: str) -> DataFrame:
     path = f"{shared_folder(spark)}/{application}/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def release(spark: SparkSession) -> None:
+    """Delete what `stage` wrote for this application, once nobody reads it any more."""
+    context = spark.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(f"{shared_folder(spark)}/{context.applicationId}")
+    path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from shelfcast.operators.panel import analytic_table, densify
 from shelfcast.schema import SERIES, WIDE_IDS
+from shelfcast.session import stage
 from shelfcast.sources.tables import read_table
 
 # Yearly events as (month and day, name, type).
@@ -46,13 +47,24 @@ def shipments(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def daily_sales(spark: SparkSession, folder: str) -> DataFrame:
-    """Units per store, item and day. One row per key, however hot the key is."""
-    return (
+def day_totals(spark: SparkSession, folder: str) -> DataFrame:
+    """Units and lowest unit price per store, item and day, written once.
+
+    The one pass over the lines: sales, prices and the calendar all come from this table,
+    which has one row per key, however hot the key is.
+    """
+    unit_price = F.col("l_extendedprice") / F.col("l_quantity")
+    totals = (
         shipments(spark, folder)
         .groupBy(*SERIES, "date")
-        .agg(F.sum("l_quantity").cast("int").alias("sales"))
+        .agg(F.sum("l_quantity").cast("int").alias("sales"), F.min(unit_price).alias("unit_price"))
     )
+    return stage(totals, "days")
+
+
+def daily_sales(totals: DataFrame) -> DataFrame:
+    """Units per store, item and day."""
+    return totals.select(*SERIES, "date", "sales")
 
 
 def _by_day(events: list[tuple[str, str, str]], field: int):
@@ -69,10 +81,9 @@ def week_key(day: str = "date"):
     ).cast("int")
 
 
-def calendar(spark: SparkSession, folder: str) -> DataFrame:
+def calendar(totals: DataFrame) -> DataFrame:
     """One row per day between the first and the last shipment."""
-    shipped = read_table(spark, folder, "lineitem").select(F.to_date("l_shipdate").alias("day"))
-    days = shipped.agg(F.min("day").alias("first"), F.max("day").alias("last")).select(
+    days = totals.agg(F.min("date").alias("first"), F.max("date").alias("last")).select(
         "first", F.explode(F.sequence("first", "last")).alias("date")
     )
     return days.select(
@@ -90,13 +101,10 @@ def calendar(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-def sell_prices(spark: SparkSession, folder: str) -> DataFrame:
+def sell_prices(totals: DataFrame) -> DataFrame:
     """Weekly price per store and item; a week without sales has no row."""
-    unit_price = F.col("l_extendedprice") / F.col("l_quantity")
-    return (
-        shipments(spark, folder)
-        .groupBy(*SERIES, week_key().alias("wm_yr_wk"))
-        .agg((F.floor(F.min(unit_price) / 100) * 100).cast("double").alias("sell_price"))
+    return totals.groupBy(*SERIES, week_key().alias("wm_yr_wk")).agg(
+        (F.floor(F.min("unit_price") / 100) * 100).cast("double").alias("sell_price")
     )
 
 
@@ -111,25 +119,24 @@ def _with_groups(df: DataFrame) -> DataFrame:
     )
 
 
-def sales_long(spark: SparkSession, folder: str) -> DataFrame:
+def sales_long(totals: DataFrame) -> DataFrame:
     """Dense daily sales: the wide table after it is turned into rows."""
-    days = calendar(spark, folder).select("date")
-    dense = densify(daily_sales(spark, folder), days)
+    days = calendar(totals).select("date")
+    dense = densify(daily_sales(totals), days)
     first = days.agg(F.min("date").alias("first")).scalar()
     label = F.concat(F.lit("d_"), F.date_diff("date", first) + 1)
     return _with_groups(dense.select(*SERIES, label.alias("d"), "sales"))
 
 
-def sales_wide(spark: SparkSession, folder: str) -> DataFrame:
+def sales_wide(totals: DataFrame) -> DataFrame:
     """One row per series and one column per day.
 
     The column names are the day labels, so the two ends of the calendar are
     fetched when the plan is made.
     """
-    shipped = read_table(spark, folder, "lineitem").select(F.to_date("l_shipdate").alias("day"))
-    first, last = shipped.agg(F.min("day"), F.max("day")).first()
+    first, last = totals.agg(F.min("date"), F.max("date")).first()
     labels = day_labels(first, last)
-    labelled = daily_sales(spark, folder).select(
+    labelled = totals.select(
         *SERIES,
         F.concat(F.lit("d_"), F.date_diff("date", F.lit(first)) + 1).alias("d"),
         "sales",
@@ -144,8 +151,10 @@ def day_labels(first: date, last: date) -> list[str]:
     return [f"d_{n}" for n in range(1, span.days + 2)]
 
 
-def panel(spark: SparkSession, folder: str) -> DataFrame:
+def panel_of(totals: DataFrame) -> DataFrame:
     """The analytic table over every store, item and day."""
-    return analytic_table(
-        sales_long(spark, folder), calendar(spark, folder), sell_prices(spark, folder)
-    )
+    return analytic_table(sales_long(totals), calendar(totals), sell_prices(totals))
+
+
+def panel(spark: SparkSession, folder: str) -> DataFrame:
+    return panel_of(day_totals(spark, folder))

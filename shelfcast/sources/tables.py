@@ -6,9 +6,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 
-def read_table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """One source table stored as Parquet, without its leftover row-number column."""
-    return spark.read.parquet(f"{folder}/{name}.parquet").drop("index")
+# The columns of the order tables that the retail tables are made from.
+SOURCE_SCHEMAS = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "supplier": "s_suppkey long, s_name string, s_nationkey int",
+    "part": "p_partkey long, p_brand string",
+    "lineitem": "l_partkey long, l_suppkey long, l_quantity double, l_extendedprice double, l_shipdate timestamp",
+}
+
+
+def read_table(spark: SparkSession, folder: str, name: str, schema: str | None = None) -> DataFrame:
+    """One source table stored as Parquet, without its leftover row-number column.
+
+    Known tables have their schema declared, so that no job runs to find it out.
+    """
+    schema = schema or SOURCE_SCHEMAS.get(name)
+    reader = spark.read.schema(schema) if schema else spark.read
+    return reader.parquet(f"{folder}/{name}.parquet").drop("index")
 
 
 def read_database_table(
@@ -23,18 +38,21 @@ def read_database_table(
     return reader.options(**(split or {}), **options).load().drop("index")
 
 
-def read_csv(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> DataFrame:
-    """A CSV with a header. Columns are matched by the header, not by position."""
+def read_csv(
+    spark: SparkSession, path: str, schema: T.StructType, sep: str = ",", mode: str = "FAILFAST"
+) -> DataFrame:
+    """CSV files with a header, whose columns are matched by name.
+
+    A file whose header is in another order than the first one's fails the read, and so
+    does a value, of a column that is read, that is not of its type; with
+    `mode="PERMISSIVE"` such a value becomes null instead.
+    """
     header = spark.read.option("header", True).option("sep", sep).csv(path).columns
     types = {f.name: f for f in schema.fields}
-    by_position = T.StructType(
-        [types.get(name, T.StructField(name, T.StringType())) for name in header]
-    )
+    laid = T.StructType([types.get(name, T.StructField(name, T.StringType())) for name in header])
     raw = (
-        spark.read.schema(by_position)
-        .option("header", True)
-        .option("sep", sep)
-        .option("dateFormat", "yyyy-MM-dd")
+        spark.read.schema(laid)
+        .options(header=True, sep=sep, dateFormat="yyyy-MM-dd", mode=mode, enforceSchema=False)
         .csv(path)
     )
     return raw.select(*[f.name for f in schema.fields])

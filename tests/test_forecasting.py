@@ -91,6 +91,7 @@ def by_hand(production: pd.DataFrame, registry: Registry) -> dict:
                 values[f"{c}_te"] = codes.get((store, item, c, str(today[c])), priors[store, item])
             model = models[store, item]
             score = model.intercept + sum(w * values.get(f, 0.0) for f, w in zip(model.features, model.weights))
+            score = round(score, 6)
             found[store, item, target] = int(score)
             x.loc[(x.store_id == store) & (x.item_id == item) & (x.date == target), "sales"] = int(score)
         x = x[x.date != x.date.min()]
@@ -128,6 +129,22 @@ def test_series_with_a_missing_day_or_no_model_has_no_forecast(spark, production
     assert got == {("CA_1", "I1"), ("CA_1", "I2")}
 
 
+def test_days_without_a_forecast_say_why(spark, production, registry):
+    second = production.date.min() + timedelta(days=1)
+    gap = production[~((production.item_id == "I2") & (production.date == production.date.min() + timedelta(days=9)))]
+    late = gap[~((gap.store_id == "CA_2") & (gap.date < second))]
+    fewer = Registry(registry.encoders, registry.models.where("NOT (store_id = 'CA_1' AND item_id = 'I1')"))
+    rows = recursive_forecast(to_spark(spark, late), fewer).toPandas()
+    start = production.date.max() - timedelta(days=7)
+    to_come = rows[rows.date >= start]
+    why = {(r.store_id, r.item_id): r.origin for r in to_come.itertuples()}
+    assert why == {("CA_1", "I1"): "no model", ("CA_2", "I1"): "gap in history", ("CA_1", "I2"): "gap in history"}
+    assert to_come.sales.isna().all()
+    assert (rows[rows.date < start].origin == "known").all() and rows[rows.date < start].sales.notna().all()
+    one = score_one_day(to_spark(spark, production), fewer).toPandas()
+    assert one.prediction.isna().tolist().count(True) == 1
+
+
 def test_registry_survives_saving(spark, production, registry, tmp_path):
     path = str(tmp_path / "registry")
     registry.save(path)

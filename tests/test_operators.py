@@ -217,7 +217,8 @@ def test_profile_duplicates_and_cross_table(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), (None, 2)], "k string, v int")
     got = {r.variable: (r.non_null, r.nulls, r.distinct_values) for r in quality.profile_columns(df).collect()}
     assert got == {"k": (2, 1, 1), "v": (3, 0, 2)}
-    assert quality.duplicate_rows(df, ["k", "v"]).first().duplicates == 1
+    found = quality.duplicate_rows(df, {"both": ["k", "v"], "k": ["k"]}).collect()
+    assert {r.compared: r.duplicates for r in found}["both"] == 1
     cross = quality.cross_table(df.withColumn("v", F.col("v").cast("string")), "k", "v", ["1", "2"]).collect()
     assert [tuple(r) for r in cross] == [("a", 2, 0)]
     shares = explore.category_frequencies(df, ["k", "v"]).collect()
@@ -232,3 +233,111 @@ def test_csv_round_trip_matches_columns_by_header(spark, tmp_path, sep):
     back = tables.read_csv(spark, path, MODEL_SCHEMA, sep)
     assert back.schema == MODEL_SCHEMA
     assert sorted(map(str, back.collect())) == sorted(map(str, df.collect()))
+
+
+def test_a_wide_catalogue_keeps_its_rows(spark):
+    items = spark.range(10_001).selectExpr("concat('I', id) AS item_id", "date'2015-01-01' AS date", "int(id) AS sales")
+    assert explore.total_by(items, "date", "item_id").count() == 10_001
+    assert len(explore.labels_of(items, "item_id")) == 10_001
+
+
+@pytest.mark.parametrize("keys", [["store_id"], []])
+def test_one_hot_block_of_any_width(spark, keys):
+    df = spark.range(1_001).selectExpr("concat('S', id % 2) AS store_id", "format_string('c%04d', id) AS a", "concat('b', id % 3) AS b")
+    state = encoding.fit_one_hot(df, ["a", "b"], keys)
+    got = {r.a: r.one_hot for r in encoding.encode_positions(df, state, ["a", "b"], keys).collect()}
+    assert len(got) == 1_001
+    assert all(got[f"c{i:04d}"] == [i, 1_001 + i % 3] for i in range(1_001))
+    unseen = spark.createDataFrame([("S0", "new", "b1")], df.schema)
+    assert encoding.encode_positions(unseen, state, ["a", "b"], keys).first().one_hot == [1_002]
+
+
+def test_pooled_states_are_joined_on_the_category(spark):
+    rows = [(f"c{i % 1_500}", i % 7) for i in range(6_000)]
+    df = spark.createDataFrame(rows, "a string, sales int")
+    state = encoding.fit_target_encoding(df, ["a"], keys=[], min_samples=0)
+    encoded = encoding.apply_target_encoding(df, state, ["a"], keys=[])
+    assert not encoded.where("a_te IS NULL").count()
+    plan = encoded._jdf.queryExecution().optimizedPlan().toString()
+    assert "collect_list" not in plan and "collect_set" not in plan
+    other = spark.createDataFrame([("unseen", 1)], df.schema)
+    prior = sum(r[1] for r in rows) / len(rows)
+    assert encoding.apply_target_encoding(other, state, ["a"], keys=[]).first().a_te == pytest.approx(prior)
+    flags = encoding.apply_one_hot(other, encoding.fit_one_hot(df, ["a"], []), {"a": ["c1", "unseen"]}, []).first()
+    assert flags["a_c1"] == flags["a_unseen"] == 0.0
+
+
+def test_series_keys_split_at_their_store(spark):
+    pairs = [("CA_3", "Brand#1"), ("CA", "3_x"), ("MIDDLE EAST", "A_B_C"), ("X", "_y")]
+    series = spark.createDataFrame(pairs, "store_id string, item_id string")
+    for chosen in (pairs[:1] + pairs[2:], pairs[1:2]):
+        known = spark.createDataFrame(chosen, series.schema)
+        got = panel.split_series_id(panel.with_series_id(known).select("series_id"), known).collect()
+        assert sorted((r.store_id, r.item_id) for r in got) == sorted(chosen)
+
+
+def test_csv_is_strict(spark, tmp_path):
+    good = "date,store_id,item_id,event_name_1,month,sell_price,wday,weekday,sales\n2015-01-01,S,I,,1,2.5,1,Mon,3\n"
+    (tmp_path / "ok").mkdir()
+    (tmp_path / "ok" / "a.csv").write_text(good)
+    assert tables.read_csv(spark, str(tmp_path / "ok"), MODEL_SCHEMA).first().sell_price == 2.5
+    (tmp_path / "bad").mkdir()
+    (tmp_path / "bad" / "a.csv").write_text(good.replace("2.5", "x7"))
+    with pytest.raises(Exception, match="(?i)malformed"):
+        tables.read_csv(spark, str(tmp_path / "bad"), MODEL_SCHEMA).select("sell_price").collect()
+    assert tables.read_csv(spark, str(tmp_path / "bad"), MODEL_SCHEMA, mode="PERMISSIVE").first().sell_price is None
+    (tmp_path / "ok" / "b.csv").write_text("store_id,date,item_id,event_name_1,month,sell_price,wday,weekday,sales\nS,2015-01-01,I,,1,2.5,1,Mon,3\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        tables.read_csv(spark, str(tmp_path / "ok"), MODEL_SCHEMA).collect()
+
+
+def test_integer_codes_become_categories(spark):
+    typed = dict(quality.as_categories(series_frame(spark, [1, 2])).dtypes)
+    assert typed["month"] == typed["wday"] == "string" and typed["sales"] == "int"
+
+
+def test_staged_tables_go_when_released(spark, tmp_path):
+    from pathlib import Path
+
+    from shelfcast.session import shared_folder, stage, tune
+
+    folder = Path(shared_folder(spark)) / spark.sparkContext.applicationId
+    before = len(list(folder.glob("*"))) if folder.exists() else 0
+    stage(spark.range(3).toDF("x"), "probe")
+    assert len(list(folder.glob("*"))) == before + 1
+    mine = dict(spark.conf.getAll)
+    own = tune(spark)
+    assert own.conf.get("spark.sql.requireAllClusterKeysForCoPartition") == "false"
+    assert dict(spark.conf.getAll) == mine
+
+
+def test_release_deletes_the_folder_of_the_application(spark, monkeypatch, tmp_path):
+    from shelfcast import session
+
+    monkeypatch.setattr(session, "shared_folder", lambda spark: str(tmp_path))
+    session.stage(spark.range(3).toDF("x"), "probe")
+    assert len(list(tmp_path.iterdir())) == 1
+    session.release(spark)
+    assert not list(tmp_path.iterdir())
+
+
+def test_functions_reach_workers_without_the_package(tmp_path):
+    import os
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    script = tmp_path / "elsewhere.py"
+    script.write_text(
+        f"import sys; sys.path.insert(0, {str(Path(__file__).resolve().parents[1])!r})\n"
+        "from shelfcast.session import build_session\n"
+        "from shelfcast.operators.training import train\n"
+        "spark = build_session('local[2]', 2)\n"
+        "rows = [('S', 'I', i, float(i % 5), i % 5) for i in range(60)]\n"
+        "df = spark.createDataFrame(rows, 'store_id string, item_id string, date int, x double, sales int')\n"
+        "chosen = spark.createDataFrame([('S', 'I', 'x', 0)], 'store_id string, item_id string, feature string, rank int')\n"
+        "print('MODELS', train(df, chosen, ['x']).count())\n"
+    )
+    clean = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    done = subprocess.run([sys.executable, str(script)], cwd=tmp_path, env=clean, capture_output=True, text=True, timeout=300)
+    assert "MODELS 1" in done.stdout, done.stderr[-2000:]
