@@ -6,6 +6,7 @@ import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfcast.functions.history import all_zero
@@ -532,8 +533,23 @@ def _left_gradients(spark: SparkSession, folder: str, models: DataFrame) -> Data
 
 
 def hyper_search(spark: SparkSession, folder: str) -> DataFrame:
+    """The candidates of every series by rank, with the days they were tested on; `search`
+    itself also gives each one's error."""
     ready = _training_set(spark, folder)
-    return search(ready.encoded, ready.selected, ready.features)
+    best = W.partitionBy(*SERIES).orderBy("mean_mae", "l2")
+    found = search(ready.encoded, ready.selected, ready.features).select(
+        *SERIES,
+        F.row_number().over(best).alias("rank"),
+        "folds",
+        F.coalesce(F.col("mean_mae") >= F.lag("mean_mae").over(best), F.lit(True)).alias("in_order"),
+    )
+    tested = F.col("recency") <= folds.FOLDS * folds.TEST_ROWS
+    days = folds.with_recency(ready.encoded.select(*KEY)).groupBy(*SERIES).agg(
+        F.count("*").alias("rows"),
+        F.min(F.when(tested, F.col("date"))).alias("first_test_date"),
+        F.max("date").alias("last_test_date"),
+    )
+    return found.join(days, SERIES)
 
 
 def train_per_series(spark: SparkSession, folder: str) -> DataFrame:

@@ -375,6 +375,17 @@ LEARNED = (
 ORACLE: dict[str, str] = {
     "train_per_series": LEARNED,
     "model_roundtrip": LEARNED,
+    "hyper_search": BASE
+    + WORK
+    + """, numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) AS recency FROM work_features),
+tested AS (
+  SELECT store_id, item_id, count(*) AS rows, min(date) FILTER (recency <= 40) AS first_test_date, max(date) AS last_test_date
+  FROM numbered GROUP BY ALL)
+SELECT store_id, item_id, CAST(rank AS INTEGER) AS rank,
+  CAST(len(list_filter([0, 1, 2, 3, 4], lambda fold: rows - 8 * (fold + 1) >= 1)) AS INTEGER) AS folds,
+  true AS in_order, rows, first_test_date, last_test_date
+FROM tested, (SELECT unnest([1, 2, 3, 4, 5]) AS rank)""",
     "score_one_day": BASE + GIVEN + _prepared("day", FRAME).replace("SELECT panel.* *", "SELECT panel.*") + f" {_scored(_oldest('day_features'))}",
     "evaluate_holdout": BASE
     + GIVEN
