@@ -12,7 +12,7 @@ from pathlib import Path
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 
 from shelfcast import catalog  # noqa: E402
-from shelfcast.session import build_session  # noqa: E402
+from shelfcast.session import build_session, release  # noqa: E402
 
 HEADLINES = [
     "sales_by_day",
@@ -47,6 +47,7 @@ def main() -> None:
     # the registry it left, as they do in use.
     catalog.forget_trained()
     seconds = {name: timed(catalog.QUERIES[name]) for name in HEADLINES}
+    release(spark)
     spark.stop()
     result = {
         "metric": "headline_queries_total",
