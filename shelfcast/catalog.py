@@ -511,19 +511,20 @@ def _left_gradients(spark: SparkSession, folder: str, models: DataFrame) -> Data
     position = {f: i for i, f in enumerate(ready.features)}
     aligned = aligned_models(models, ready.features)
     fitted = linear_score([F.col(f).cast("double") for f in ready.features])
-    left = ready.encoded.join(aligned, SERIES).select(
-        *SERIES,
-        (F.col("sales") - fitted).alias("left"),
-        F.posexplode(F.array(*[F.col(f).cast("double") for f in ready.features])).alias("at", "x"),
-    )
-    slopes = left.groupBy(*SERIES, "at").agg(
-        F.covar_pop("left", "x").alias("slope"), F.stddev_pop("x").alias("deviation")
+    numbers = {f: F.col(f).cast("double") for f in ready.features}
+    left = ready.encoded.join(aligned, SERIES).withColumn("_left", F.col("sales") - fitted)
+    slopes = left.groupBy(*SERIES).agg(
+        F.array(*[F.covar_pop("_left", x) for x in numbers.values()]).alias("slopes"),
+        F.array(*[F.stddev_pop(x) for x in numbers.values()]).alias("deviations"),
     )
     own = models.select(*SERIES, "l2", F.posexplode(F.arrays_zip("features", "weights")).alias("place", "w")).select(
         *SERIES, "l2", "place", "w.*"
     )
     index = F.create_map(*[F.lit(x) for pair in position.items() for x in pair])
-    joined = own.withColumn("at", index[F.col("features")]).join(slopes, [*SERIES, "at"])
+    at = index[F.col("features")]
+    joined = own.join(slopes, SERIES).withColumns(
+        {"slope": F.get("slopes", at), "deviation": F.get("deviations", at)}
+    )
     penalty = F.col("l2") * F.col("weights") * F.col("deviation")
     gradient = F.when(F.col("deviation") > 1e-12, F.col("slope") / F.col("deviation") - penalty).otherwise(F.col("weights"))
     return P.with_series_id(joined).select(
