@@ -61,17 +61,21 @@ class Grams:
         self.slots = slots
         self.lower, self.letter = _folding()
 
-    def counts(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
-        """Term counts (rows by slots), and which rows have a letter."""
-        n = len(block.rows)
+    def characters(self, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Folded code points of a block, the row of each, and whether it is a letter."""
         points = np.frombuffer(block.data.tobytes().decode().encode("utf-32-le"), np.uint32)
         # Characters before each text: the bytes that begin one.
         begins = np.concatenate([[0], np.cumsum((block.data & 0xC0) != 0x80)])
-        cut = begins[block.offsets]
-        row = np.repeat(np.arange(n, dtype=np.int64), np.diff(cut))
+        row = np.repeat(np.arange(len(block.rows), dtype=np.int64), np.diff(begins[block.offsets]))
         basic = points < 0x10000
-        points = np.where(basic, self.lower[np.where(basic, points, 0)], points)
-        lettered = np.where(basic, self.letter[np.where(basic, points, 0)], points >= 0x10000)
+        held = np.where(basic, points, 0)
+        points, lettered = np.where(basic, self.lower[held], points), np.where(basic, self.letter[held], True)
+        return points, row, lettered
+
+    def counts(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
+        """Term counts (rows by slots), and which rows have a letter."""
+        n = len(block.rows)
+        points, row, lettered = self.characters(block)
         has_letter = np.zeros(n, bool)
         has_letter[row[lettered]] = True
         # Of neighbouring blanks only the first counts.
@@ -253,6 +257,111 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
     return docs.select("doc_id", "text").mapInArrow(judge, f"doc_id {kind}, lang_pred string, score double")
 
 
+# Evidence: the probabilities above always add up to one over the learned labels, so they tell
+# which of them is likeliest, never that it is none of them. Whether a text is of any learned
+# language is told by how likely its letters are, each with its two neighbours. A word counts
+# by the language that makes it likeliest, so a text may be of several.
+EVIDENCE_SLOTS = 1 << 16
+EVIDENCE_LETTERS = 8192
+"""Letters of a document of the sample that are counted."""
+UNSEEN = 0.1
+"""The share of probability spread over all slots."""
+MARGIN = 5.0
+
+
+def letters_in_words(grams: Grams, block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """For each letter of a block: its row, the slot of its trigram, whether it begins a word."""
+    points, row, lettered = grams.characters(block)
+    held = np.where(lettered, points, 0x20).astype(np.uint64)
+    before, after = np.full(len(held), 0x20, np.uint64), np.full(len(held), 0x20, np.uint64)
+    same = row[1:] == row[:-1]
+    before[1:] = np.where(same, held[:-1], 0x20)
+    after[:-1] = np.where(same, held[1:], 0x20)
+    with np.errstate(over="ignore"):
+        gram = (before * np.uint64(0x100000001B3) + held) * np.uint64(0x100000001B3) + after
+        slot = ((gram + np.uint64(1)) * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(48)
+    return row[lettered], slot[lettered].astype(np.uint16), (before == 0x20)[lettered]
+
+
+def evidence_of(row: np.ndarray, slot: np.ndarray, begins: np.ndarray, logs: np.ndarray, rows: int) -> np.ndarray:
+    """Mean log probability of a letter of each row, each word by its likeliest language."""
+    total, n = np.zeros(rows), np.bincount(row, minlength=rows)
+    if len(slot):
+        first = np.flatnonzero(begins)
+        words = np.add.reduceat(logs[slot], first, axis=0).max(axis=1)
+        total = np.bincount(row[first], words, minlength=rows)
+    return np.where(n > 0, total / np.maximum(n, 1), -np.inf)
+
+
+def fit_evidence(docs: DataFrame, per_label: int = SAMPLE) -> dict | None:
+    """Log probabilities of trigrams by language, and the least evidence of a text of theirs.
+
+    Learned on a bounded sample as the weights are. The bound comes from each sampled text
+    scored as if its own letters had not been counted: as far below the first percentile as
+    MARGIN times the distance from there to the median.
+    """
+    rows = docs.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams()
+        for block in blocks(batches, most_rows=BLOCK_ROWS):
+            row, slot, begins = letters_in_words(grams, block)
+            cut = np.searchsorted(row, np.arange(len(block.rows) + 1))
+            parts = [slice(a, min(b, a + EVIDENCE_LETTERS)) for a, b in zip(cut, cut[1:])]
+            columns = [
+                block.rows.column("lang"),
+                pa.array([slot[p].tobytes() for p in parts]),
+                pa.array([begins[p].tobytes() for p in parts]),
+            ]
+            yield pa.RecordBatch.from_arrays(columns, names=["lang", "slots", "begins"])
+
+    def learn(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        drawn = [r for batch in batches for r in zip(*(c.to_pylist() for c in batch.columns)) if r[1]]
+        if not drawn:
+            return
+        labels = sorted({r[0] for r in drawn})
+        slots = [np.frombuffer(r[1], np.uint16) for r in drawn]
+        seen = np.zeros((EVIDENCE_SLOTS, len(labels)))
+        for (lang, *_), own in zip(drawn, slots):
+            seen[:, labels.index(lang)] += np.bincount(own, minlength=EVIDENCE_SLOTS)
+        total, scores = seen.sum(axis=0), []
+        for (lang, _, begins), own in zip(drawn, slots):
+            kinds, at, n = np.unique(own, return_inverse=True, return_counts=True)
+            others, of = seen[kinds], labels.index(lang)
+            others[:, of] -= n
+            left = total.copy()
+            left[of] -= len(own)
+            logs = np.log((1 - UNSEEN) * others / np.maximum(left, 1) + UNSEEN / EVIDENCE_SLOTS)
+            first = np.frombuffer(begins, bool)
+            scores.append(evidence_of(np.zeros(len(own), np.int64), at, first, logs, 1)[0])
+        low, middle = np.quantile(scores, [0.01, 0.5])
+        logs = np.log((1 - UNSEEN) * seen / np.maximum(total, 1) + UNSEEN / EVIDENCE_SLOTS).astype(np.float32)
+        least = float(low - MARGIN * (middle - low))
+        yield pa.RecordBatch.from_pydict({"n": [len(labels)], "logs": [logs.tobytes()], "least": [least]})
+
+    drawn = stage(sample(rows, per_label).mapInArrow(read, "lang string, slots binary, begins binary"), "language-evidence")
+    # One task learns from the sample, which `per_label` bounds.
+    learned = drawn.coalesce(1).mapInArrow(learn, "n long, logs binary, least double").collect()
+    if not learned:
+        return None
+    logs = np.frombuffer(learned[0]["logs"], np.float32).reshape(EVIDENCE_SLOTS, learned[0]["n"])
+    return {"logs": logs, "least": learned[0]["least"]}
+
+
+def keep_evident(docs: DataFrame, evidence: dict | None) -> DataFrame:
+    """Documents, all columns, whose words are as likely as those of the learned languages."""
+    if evidence is None:
+        return docs
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        grams = Grams()
+        for block in blocks(batches, most_rows=BLOCK_ROWS):
+            found = evidence_of(*letters_in_words(grams, block), evidence["logs"], len(block.rows))
+            yield block.rows.filter(pa.array(found >= evidence["least"]))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def keep_languages(docs: DataFrame, model: dict | None, languages: list[str] | None = None, least: float = 0.5) -> DataFrame:
     """Documents, all columns, in one of `languages` (any learned one) with a sure enough score."""
 
