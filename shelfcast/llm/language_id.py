@@ -31,7 +31,7 @@ LONGEST_GRAM = 3
 UNDETERMINED = "und"
 EPOCHS = 2
 ALPHA, BETA, L1, L2 = 0.5, 1.0, 0.05, 0.01
-BLOCK_ROWS = 128
+BLOCK_ROWS = 32
 
 
 def training_rows(doc_id: Column) -> Column:
@@ -262,7 +262,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
 # language is told by how likely its letters are, each with its two neighbours. A word counts
 # by the language that makes it likeliest, so a text may be of several.
 EVIDENCE_SLOTS = 1 << 16
-EVIDENCE_LETTERS = 8192
+EVIDENCE_LETTERS = 2048
 """Letters of a document of the sample that are counted."""
 UNSEEN = 0.1
 """The share of probability spread over all slots."""
@@ -348,26 +348,18 @@ def fit_evidence(docs: DataFrame, per_label: int = SAMPLE) -> dict | None:
     return {"logs": logs, "least": learned[0]["least"]}
 
 
-def keep_evident(docs: DataFrame, evidence: dict | None) -> DataFrame:
-    """Documents, all columns, whose words are as likely as those of the learned languages."""
-    if evidence is None:
-        return docs
+def keep_languages(docs: DataFrame, model: dict | None, languages: list[str] | None = None, least: float = 0.5, evidence: dict | None = None) -> DataFrame:
+    """Documents, all columns, in one of `languages` (any learned one) with a sure enough score
+    and, where `evidence` is given, words as likely as those of the learned languages."""
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         grams = Grams()
-        for block in blocks(batches, most_rows=BLOCK_ROWS):
-            found = evidence_of(*letters_in_words(grams, block), evidence["logs"], len(block.rows))
-            yield block.rows.filter(pa.array(found >= evidence["least"]))
-
-    return docs.mapInArrow(keep, docs.schema)
-
-
-def keep_languages(docs: DataFrame, model: dict | None, languages: list[str] | None = None, least: float = 0.5) -> DataFrame:
-    """Documents, all columns, in one of `languages` (any learned one) with a sure enough score."""
-
-    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, labels, scores in _predicted(batches, model):
             wanted = [x != UNDETERMINED and (languages is None or x in languages) for x in labels]
-            yield block.rows.filter(pa.array(np.array(wanted, bool) & (scores >= least)))
+            kept = np.array(wanted, bool) & (scores >= least)
+            if evidence is not None:
+                found = evidence_of(*letters_in_words(grams, block), evidence["logs"], len(block.rows))
+                kept &= found >= evidence["least"]
+            yield block.rows.filter(pa.array(kept))
 
     return docs.mapInArrow(keep, docs.schema)

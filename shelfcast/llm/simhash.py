@@ -21,7 +21,7 @@ null id); repeated rows get a row each; an empty table gives an empty table.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from functools import reduce
 from itertools import combinations
 from math import comb, log2
@@ -211,16 +211,19 @@ def near_duplicates(docs: DataFrame, distance: int = 2) -> DataFrame:
     )
 
 
-def classes(rows: DataFrame, distance: int = 2) -> DataFrame:
+def classes(rows: DataFrame, distance: int = 2, links: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """doc_id, bits, root (the smallest bits of the component) and component (its smallest
     doc_id, NO_ID where no row of it has one) of fingerprint rows.
 
+    `links` gives the links over the distinct bits where it is not their distance that counts.
+
     Copies share their bits, so links, components and names are worked out over distinct
     bits; the last join carries small rows only, and adaptive execution splits a hot value.
     """
     named = rows.groupBy("bits").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("least"))
     named = stage(named, "simhash-values")
-    roots = components(links_between(named.select("bits"), distance))
+    linked = links or (lambda values: links_between(values, distance))
+    roots = components(linked(named.select("bits")))
     rooted = named.join(roots, named["bits"] == roots["node"], "left").select(
         "bits", "least", F.coalesce("root", "bits").alias("root")
     )
@@ -229,10 +232,10 @@ def classes(rows: DataFrame, distance: int = 2) -> DataFrame:
     return rows.join(of_value, "bits", "left").select("doc_id", "bits", "root", "component")
 
 
-def _with_bits(docs: DataFrame) -> DataFrame:
+def _with_bits(docs: DataFrame, value: Callable[[Block], np.ndarray]) -> DataFrame:
     def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block in blocks(batches):
-            yield block.rows.append_column(BITS, pa.array(_bits(block).view(np.int64)))
+            yield block.rows.append_column(BITS, pa.array(value(block).view(np.int64)))
 
     return docs.mapInArrow(add, T.StructType([*docs.schema.fields, T.StructField(BITS, T.LongType())]))
 
@@ -250,13 +253,22 @@ def _among(docs: DataFrame, place: dict, wanted: bool) -> DataFrame:
 
 
 def keep_one(docs: DataFrame, distance: int = 2) -> DataFrame:
-    """The documents, all columns, less those that have a near copy with a smaller doc_id.
+    """The documents, all columns, less those within the distance of one with a smaller doc_id."""
+    rows = stage(fingerprints(docs), "simhash-rows")
+    return keep_one_of(docs, rows, _bits, lambda values: links_between(values, distance))
+
+
+def keep_one_of(
+    docs: DataFrame, rows: DataFrame, value: Callable[[Block], np.ndarray], links: Callable[[DataFrame], DataFrame]
+) -> DataFrame:
+    """One document, all columns, of each component: `rows` has doc_id and bits, which
+    `value` gives for the texts of a block and `links` links.
 
     Texts are not shuffled: the ids that go are written as sorted arrays, which the tasks
     that read the texts map and search. Rows that share a doc_id, or have none, are settled
     apart by their fingerprints, one to a component.
     """
-    found = stage(classes(stage(fingerprints(docs), "simhash-rows"), distance), "simhash-classes")
+    found = stage(classes(rows, links=links), "simhash-classes")
     own = F.coalesce("doc_id", F.lit(NO_ID))
     ids = found.groupBy(own.alias("own")).agg(
         F.count("*").alias("rows"), F.max((own == F.col("component")).cast("int")).alias("names")
@@ -266,7 +278,7 @@ def keep_one(docs: DataFrame, distance: int = 2) -> DataFrame:
     kept = _among(docs, write_ids(ids.filter(shared | (F.col("names") == 0)).select("own"), "simhash-gone"), False)
     several = ids.filter(shared & (F.col("names") == 1)).select("own")
     if not several.isEmpty():
-        again = _with_bits(_among(docs, write_ids(several, "simhash-shared"), True))
+        again = _with_bits(_among(docs, write_ids(several, "simhash-shared"), True), value)
         named = found.filter(own == F.col("component")).select(
             F.col("component").alias(OWN), F.col("bits").alias(BITS), F.col("root").alias(ROOT)
         ).distinct()
