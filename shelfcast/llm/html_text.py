@@ -48,6 +48,15 @@ HINTS = set(
     "breadcrumbs sidebar aside footer header masthead comment comments disqus reply replies respond related share sharing "
     "social widget toolbar pagination pager copyright disclaimer skip".split()
 )
+# Of these, also the articles inside are boilerplate: comments and teasers are articles too.
+LISTED = set(
+    "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies newsletter nav navbar "
+    "navigation menu aside comment comments disqus reply replies respond related widget".split()
+)
+# `has-header` and `with-sidebar` tell what a page has beside its text.
+MODIFIERS = set("has have with without no not hide show".split())
+IN_HEAD = set("base link meta title style script noscript template".split())
+FOREIGN = set("svg math object".split())
 _STOP = {w for ws in STOP_WORDS.values() for w in ws.split()}
 _TAG = re.compile(
     r"""<!--.*?(?:-->|\Z)|<[!?][^>]*(?:>|\Z)|<(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<rest>(?:[^"'>]|"[^"]*"|'[^']*')*+>|[^>]*(?:>|\Z))""",
@@ -58,7 +67,7 @@ _PARTS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _WORD = re.compile(r"[^\W\d_]+")
 
-TEXT, BOILER, OPEN = "text", "boilerplate", None
+TEXT, BOILER, WRAPPER, OPEN = "text", "boilerplate", "wrapper", None
 
 
 @dataclass
@@ -71,26 +80,37 @@ class Piece:
     heading: bool
 
 
-def _hinted(name: str, rest: str) -> bool:
+def _hinted(name: str, rest: str) -> str | None:
+    """What role, class and id say: BOILER, WRAPPER (so is all but an article inside) or nothing."""
     if name in ("html", "body") or "=" not in rest:
-        return False
+        return None
+    said = None
     for kind, value in _NAMED.findall(rest):
         value = value.strip("\"'")
         if kind.lower() == "role":
             if value.lower() in ROLES:
-                return True
-        elif name not in CONTENT and HINTS & set(_PARTS.split(_CAMEL.sub("-", value).lower())):
-            return True
-    return False
+                return BOILER
+        elif name not in CONTENT:
+            for one in value.split():
+                parts = set(_PARTS.split(_CAMEL.sub("-", one).lower()))
+                if not HINTS & parts or MODIFIERS & parts:
+                    continue
+                if LISTED & parts or one.lower() == "sidebar":
+                    return BOILER
+                said = WRAPPER
+    return said
 
 
 def _place(name: str, rest: str, outer: str | None) -> str | None:
     """What blocks inside an element are, given what they are around it."""
-    if outer == BOILER or _hinted(name, rest):
+    hint = _hinted(name, rest)
+    if outer == BOILER or hint == BOILER or name in BOILERPLATE and outer != TEXT:
         return BOILER
+    if hint:
+        return hint
     if name in BOILERPLATE:
         # The header of an article holds its title.
-        return TEXT if name == "header" and outer == TEXT else BOILER
+        return TEXT if name == "header" else BOILER
     return TEXT if name in CONTENT or re.search(r"""role\s*=\s*["']?main\b""", rest) else outer
 
 
@@ -112,6 +132,8 @@ def pieces(page: str) -> list[Piece]:
 
     def say(text: str) -> None:
         nonlocal linked
+        if stack[-1][0] == "head" and text.strip():
+            stack.pop()
         if not stack[-1][2]:
             held.append(text)
             if in_link:
@@ -124,6 +146,9 @@ def pieces(page: str) -> list[Piece]:
         name = (tag["name"] or "").lower()
         if not name:
             continue
+        if not tag["close"] and stack[-1][0] == "head" and name not in IN_HEAD:
+            # The end tag of a head may be left out.
+            stack.pop()
         if name in BLOCKS or name in SILENT:
             end_block()
         if tag["close"]:
@@ -138,7 +163,7 @@ def pieces(page: str) -> list[Piece]:
         if name == "a":
             in_link += 1
         heading = heading or name in ("h1", "h2", "h3", "h4", "h5", "h6")
-        if name in VOID:
+        if name in VOID or name in FOREIGN and rest.endswith("/>"):
             continue
         silent = stack[-1][2] or name in SILENT
         if name in RAW:
@@ -157,7 +182,7 @@ def pieces(page: str) -> list[Piece]:
         if name in BLOCKS or name in SILENT:
             stack.append((name, _place(name, rest, stack[-1][1]), silent))
         elif "=" in rest and _hinted(name, rest):
-            stack.append((name, BOILER, silent))
+            stack.append((name, _place(name, rest, stack[-1][1]), silent))
     say(page[at:])
     end_block()
     return found
@@ -166,7 +191,7 @@ def pieces(page: str) -> list[Piece]:
 def first_pass(block: Piece) -> str | None:
     """A block's label by where it stands, its links, its length and its stop words."""
     if block.place is not None:
-        return block.place
+        return BOILER if block.place == WRAPPER else block.place
     words = _WORD.findall(block.text.lower())
     if block.linked > MOST_LINKS * len(block.text):
         return BOILER
