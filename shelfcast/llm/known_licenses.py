@@ -1,4 +1,9 @@
-"""Texts of well-known licenses, and short notices that name one."""
+"""Texts of well-known licenses, and short notices that name one.
+
+The long licenses are files in `license_texts`, named by license.
+"""
+
+from pathlib import Path
 
 _AS_IS = """THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE
 WARRANTIES OF MERCHANTABILITY, FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT."""
@@ -92,6 +97,14 @@ LICENSES = {
     "CC-BY-NC-4.0 notice": "Licensed under CC BY-NC 4.0.",
 }
 
+_TERMS_END = "END OF TERMS AND CONDITIONS"
+
+for _file in sorted(Path(__file__).with_name("license_texts").glob("*.txt")):
+    LICENSES[_file.stem] = _file.read_text(encoding="utf-8")
+    if _TERMS_END in LICENSES[_file.stem]:
+        # Often given without the appendix on how to apply them.
+        LICENSES[f"{_file.stem}, without appendix"] = LICENSES[_file.stem].split(_TERMS_END)[0] + _TERMS_END
+
 NOTICES = {
     "MIT": "Released under the MIT License.",
     "MIT (licensed)": "Licensed under the MIT License.",

@@ -50,7 +50,14 @@ EQUIVALENT = [
     ("http", "https"),
 ]
 
-COPYRIGHT_LINE = r"(?m)^[^\p{L}\p{N}\n]*(?:copyright(?: \(c\)| \x{a9})? *(?:\d|<|\[|\{)|\(c\) *\d|\x{a9}|all rights reserved)[^\n]*"
+# Lines of copyright name a year or, after a sign or in a known way, a holder. Other lines that
+# begin with the word (`copyright notice, this list`, `copyright holders and contributors`) are
+# wrapped sentences and stay.
+COPYRIGHT_LINE = (
+    r"(?m)^[^\p{L}\p{N}\n]*(?:copyright *(?:\(c\)|\x{a9})|copyright *(?:\d|<|\[|\{)|\(c\) *(?:copyright|\d)|\x{a9}|all rights reserved"
+    r"|copyright (?:by )?the [^\n]*\b(?:authors|contributors|developers|project|team|foundation|community|university)\b"
+    r"|copyright [^\n]*\b(?:inc|llc|ltd|gmbh|corp|corporation|foundation|authors)\b)[^\n]*"
+)
 
 
 def canonical(text: Column) -> Column:
@@ -71,7 +78,7 @@ def one_line(lines: Column) -> Column:
 
 def canonical_text(text: str) -> str:
     """The same form of a known text, worked out where the table of them is made."""
-    low = re.sub(r"(?m)^[^\w\n]*(?:copyright(?: \(c\)| ©)? *(?:\d|<|\[|\{)|\(c\) *\d|©|all rights reserved)[^\n]*", "", text.lower())
+    low = re.sub(COPYRIGHT_LINE.replace(r"[^\p{L}\p{N}\n]", r"[^\w\n]").replace(r"\x{a9}", "\u00a9"), "", text.lower())
     spaced = re.sub(r"[^\w\n]+|_+", " ", low.replace("&", " and "))
     for other, one in EQUIVALENT:
         spaced = re.sub(rf"\b{other}\b", one, spaced)
