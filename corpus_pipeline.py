@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import decontamination, language_id, near_copies, packing, quality_rules
+from shelfcast.llm import decontamination, language_id, packing, quality_rules, simhash
 from shelfcast.llm.queries import vocabulary
 from shelfcast.session import stage
 
@@ -34,11 +34,9 @@ def languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies stays, that of the smallest doc_id.
-
-    Near copies have a Jaccard similarity of 0.8 or more over five-word shingles.
-    """
-    return near_copies.keep_one(docs)
+    """One document of each group stays, that of the smallest doc_id: a group is linked by
+    SimHash fingerprints of three-word shingles that differ in at most two bits."""
+    return simhash.keep_one(docs)
 
 
 def benchmark_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
