@@ -22,12 +22,6 @@ from shelfcast.llm.known_licenses import LICENSES, NOTICES
 
 # Spellings that license guidelines hold to be the same.
 EQUIVALENT = [
-    ("licence", "license"),
-    ("licences", "licenses"),
-    ("sublicence", "sublicense"),
-    ("licenced", "licensed"),
-    ("licencing", "licensing"),
-    ("licencee", "licensee"),
     ("licensor", "licenser"),
     ("copyright owner", "copyright holder"),
     ("organisation", "organization"),
@@ -50,6 +44,9 @@ EQUIVALENT = [
     ("http", "https"),
 ]
 
+# The stem that both spellings of license share, in every form of the word.
+STEM = ("licenc", "licens")
+
 # Lines of copyright name a year or, after a sign or in a known way, a holder. Other lines that
 # begin with the word (`copyright notice, this list`, `copyright holders and contributors`) are
 # wrapped sentences and stay.
@@ -65,11 +62,11 @@ def canonical(text: Column) -> Column:
     low = F.lower(F.coalesce(text, F.lit("")))
     plain = F.regexp_replace(low, COPYRIGHT_LINE, "")
     spaced = F.regexp_replace(F.replace(plain, F.lit("&"), F.lit(" and ")), r"[^\p{L}\p{N}\n]+", " ")
-    alike = spaced
+    alike = F.replace(spaced, F.lit(STEM[0]), F.lit(STEM[1]))
     for other, one in EQUIVALENT:
         alike = F.regexp_replace(alike, rf"\b{other}\b", one)
     # Most texts hold none of these spellings: one look tells.
-    return F.when(spaced.rlike("|".join(other for other, _ in EQUIVALENT)), alike).otherwise(spaced)
+    return F.when(spaced.rlike("|".join([STEM[0], *(other for other, _ in EQUIVALENT)])), alike).otherwise(spaced)
 
 
 def one_line(lines: Column) -> Column:
@@ -79,7 +76,7 @@ def one_line(lines: Column) -> Column:
 def canonical_text(text: str) -> str:
     """The same form of a known text, worked out where the table of them is made."""
     low = re.sub(COPYRIGHT_LINE.replace(r"[^\p{L}\p{N}\n]", r"[^\w\n]").replace(r"\x{a9}", "\u00a9"), "", text.lower())
-    spaced = re.sub(r"[^\w\n]+|_+", " ", low.replace("&", " and "))
+    spaced = re.sub(r"[^\w\n]+|_+", " ", low.replace("&", " and ")).replace(*STEM)
     for other, one in EQUIVALENT:
         spaced = re.sub(rf"\b{other}\b", one, spaced)
     return " ".join(spaced.split())

@@ -190,6 +190,7 @@ def _license_sql() -> str:
         f"regexp_replace(replace(regexp_replace(lower(coalesce(text, '')), {quoted(licenses.COPYRIGHT_LINE)}, '', 'g'), '&', ' and '), "
         r"'[^\p{L}\p{N}\n]+', ' ', 'g')"
     )
+    spaced = f"replace({spaced}, '{licenses.STEM[0]}', '{licenses.STEM[1]}')"
     for other, one in licenses.EQUIVALENT:
         spaced = rf"regexp_replace({spaced}, '\b{other}\b', '{one}', 'g')"
     notices: dict[str, str] = {}
