@@ -12,6 +12,7 @@ from shelfcast.llm.decontamination import contamination
 from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.quality_rules import RULES, STOP_WORDS, Rule, judge_quality
 from shelfcast.llm.simhash import near_duplicates
+from shelfcast.llm.spelling import spelling_variants
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -107,6 +108,10 @@ def op10_simhash(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicates(table(spark, folder, "documents"))
 
 
+def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
+    return spelling_variants(table(spark, folder, "documents"))
+
+
 def _rule_sql(rule: Rule) -> str:
     ratio = f"{rule.over}::DOUBLE / nullif({rule.under}, 0)"
     bounds = [f"{ratio} < {rule.least}"] * (rule.least is not None) + [f"{ratio} > {rule.most}"] * (rule.most is not None)
@@ -214,7 +219,53 @@ FROM whole LEFT JOIN known USING (t) LEFT JOIN said USING (rid)
 """
 
 
+_CRC_BYTE = "list_reduce([0, 1, 2, 3, 4, 5, 6, 7], lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i)"
+
+
+def _crc_sql(codes: str) -> str:
+    """crc32 of a list of bytes, in words of SQL; `crc_table` is its table."""
+    step = "xor(c >> 8, t[1 + (xor(c, b) & 255)])"
+    return f"xor(list_reduce({codes}, lambda c, b: {step}, 4294967295::BIGINT), 4294967295)"
+
+
+_CRC_TABLE = f"crc_table AS (SELECT list_transform(range(256), lambda i: {_CRC_BYTE}) AS t)"
+
+_SPELLING_SQL = rf"""
+WITH RECURSIVE {_CRC_TABLE},
+runs AS (
+  SELECT coalesce(doc_id::VARCHAR, '') AS id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run, count(*) AS n
+  FROM (SELECT doc_id, unnest(regexp_extract_all(text, '[A-Za-zÀ-ÿ]+')) AS run FROM documents)
+  WHERE length(run) >= 6 GROUP BY ALL),
+coded AS (
+  SELECT run, n, flatten(list_transform(string_split(id || ':' || run, ''), lambda x: CASE
+    WHEN unicode(x) < 128 THEN [unicode(x)::BIGINT] ELSE [192 | (unicode(x)::BIGINT >> 6), 128 | (unicode(x)::BIGINT & 63)] END)) AS codes
+  FROM runs),
+summed AS (SELECT run, n, {_crc_sql("codes")} AS h FROM coded, crc_table),
+slipped AS (
+  SELECT CASE WHEN h % 199 = 0 THEN left(run, (h % length(run))::INT) || substr(run, (h % length(run))::INT + 2) ELSE run END AS word, n
+  FROM summed),
+words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM slipped GROUP BY word HAVING sum(n) >= 5 AND length(word) >= 6),
+cuts AS (SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS cut FROM (SELECT *, unnest(range(1, length(word) + 1)) AS i FROM words)),
+near AS (
+  SELECT a.word, a.n, b.word AS other, b.n AS other_n FROM cuts a JOIN cuts b ON a.cut = b.cut AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, a.n, b.word, b.n FROM cuts a JOIN words b ON a.cut = b.word
+  UNION SELECT b.word, b.n, a.word, a.n FROM cuts a JOIN words b ON a.cut = b.word),
+counted AS (SELECT word, n, count(*) AS n_near, max(other_n) AS best FROM near GROUP BY word, n),
+formed AS (
+  SELECT w.word, w.n, coalesce(c.n_near, 0) AS n_near, CASE WHEN c.best >= 5 * w.n THEN c.best END AS form_n,
+         (SELECT min(x.other) FROM near x WHERE x.word = w.word AND x.other_n = c.best AND c.best >= 5 * w.n) AS form
+  FROM words w LEFT JOIN counted c USING (word)),
+followed AS (
+  SELECT word, word AS root FROM formed
+  UNION ALL SELECT f.word, g.form FROM followed f JOIN formed g ON g.word = f.root WHERE g.form IS NOT NULL),
+ends AS (SELECT f.word, f.root FROM followed f JOIN formed g ON g.word = f.root WHERE g.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
+"""
+
+
 ORACLE = {
+    "op11_spelling": _SPELLING_SQL,
     "op2_chat_format": _chat_sql(),
     "op3_url_filter": _URL_SQL,
     "op8_license_scan": _license_sql(),
@@ -237,4 +288,5 @@ QUERIES: dict[str, Query] = {
     "op8_license_scan": op8_license_scan,
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
+    "op11_spelling": op11_spelling,
 }
