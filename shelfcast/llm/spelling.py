@@ -13,7 +13,9 @@ for edits in its second half and backwards for those in its first, each from the
 half without edits. An edge with a single word below carries that word, and what is left is
 compared at once: the number of levels follows the longest beginning or ending that two
 words share, not the longest word. A node is a 64-bit hash of what leads to it; two that
-clash only add states, and every link is confirmed on the words.
+clash only add states, and every link is confirmed on the words. Runs of more than
+`LONG_WORD` code points, which are hardly words, would need a level for each: they meet by
+hashes of what is left of them without each code point, in rows that do not carry them.
 
 Defined results: a null or empty text has no words; a null doc_id counts as an empty one;
 repeated rows count as often as they occur; of near words that occur equally often the
@@ -43,6 +45,8 @@ FORM_FACTOR = 5
 SLIP_EVERY = 199
 DISTINCT = 1 << 19
 """Different words that a task holds before it hands its counts on."""
+LONG_WORD = 64
+"""Code points up to which a word walks the trie."""
 LONG = 64
 """Bytes of a run above which its checksum is worked out apart."""
 
@@ -212,43 +216,88 @@ def _level(states: DataFrame, edges: DataFrame, depth: int) -> DataFrame:
     here, fresh = F.col("position"), F.col("edits") == 0
     states = states.filter(~fresh | (here < F.length("word")))
     half = F.floor((F.length("word") + F.col("way")) / 2)
-    own = lambda at: F.substring("word", at + 1, F.lit(1))
+    at = lambda i: F.substring("word", i + 1, F.lit(1))
     # Of a run of one code point the first is skipped: the others give the same word.
-    skips = fresh & ((here == half) | (own(here) != own(here - 1)))
+    skips = fresh & ((here == half) | (at(here) != at(here - 1)))
     after = F.struct((here + F.when(skips, 1)).alias("position"), F.lit(1).alias("edits"))
     moved = F.filter(F.array(F.struct("position", "edits"), after), lambda s: s["position"].isNotNull())
     states = states.withColumn("now", F.explode(moved)).select("way", "word", "n", "now.*", "node")
-    follows = F.col("char") == own(here)
-    met = states.join(edges.drop("depth"), "node").filter(follows | (fresh & (F.col("char") > own(here))))
+    # What the word goes on with is cut out once for each state, not for each edge it meets.
+    states = states.withColumn("own", at(here)).withColumn("rest", F.substring("word", here + 2, F.length("word")))
+    follows = F.col("char") == F.col("own")
+    met = states.join(edges.drop("depth"), "node").filter(follows | (fresh & (F.col("char") > F.col("own"))))
     spent = F.when(follows, F.col("edits")).otherwise(1)
-    rest = F.substring("only", F.lit(depth + 2), F.length("only")) == F.substring("word", here + 2, F.length("word"))
-    return met.filter(~F.col("single") | ((spent == 1) & rest)).select(
+    ends = (spent == 1) & (F.substring("only", F.lit(depth + 2), F.length("only")) == F.col("rest"))
+    return met.filter(~F.col("single") | ends).select(
         "way", "word", "n", (here + 1).alias("position"), F.col("child").alias("node"), spent.alias("edits"), "only", "only_n"
     )
 
 
-def near_words(words: DataFrame) -> DataFrame:
+def _cuts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A hash of each word, at -1, and of the word without each of its code points."""
+    back = np.uint64(pow(int(_STEP), -1, 1 << 64))
+    for batch in batches:
+        for word, own in zip(batch.column("word").to_pylist(), batch.column("id").to_pylist()):
+            points = np.frombuffer(word.encode("utf-32-le"), np.uint32).astype(np.uint64)
+            with np.errstate(over="ignore"):
+                powers = np.multiply.accumulate(np.full(len(points), _STEP, np.uint64))
+                sums = np.concatenate([[np.uint64(0)], np.cumsum((points + np.uint64(1)) * powers)])
+                left = np.concatenate([sums[-1:], sums[:-1] + (sums[-1] - sums[1:]) * back])
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(mix(left).view(np.int64)),
+                    pa.array(np.arange(-1, len(points), dtype=np.int32)),
+                    pa.array(np.full(len(left), own)),
+                ],
+                names=["key", "place", "id"],
+            )
+
+
+def _near_long(words: DataFrame, longest: int) -> DataFrame:
+    """Links of words of more than `longest` code points, from rows of hashes."""
+    held = words.filter(F.length("word") >= longest).withColumn("id", F.xxhash64("word"))
+    cuts = stage(held.select("word", "id").mapInArrow(_cuts, "key long, place int, id long"), "spelling-cuts")
+    other = cuts.withColumnRenamed("id", "other")
+    left = cuts.filter("place >= 0")
+    replaced = left.join(other, ["key", "place"]).filter("id < other").select("id", "other")
+    cut = left.drop("place").join(other.filter("place < 0").drop("place"), "key").select("id", "other")
+    others = held.select(F.col("id").alias("other"), F.col("word").alias("to"), F.col("n").alias("to_n"))
+    met = replaced.unionByName(cut).distinct().join(held, "id").join(others, "other")
+    return met.select("word", "n", F.col("to").alias("other"), F.col("to_n").alias("other_n"))
+
+
+def near_words(words: DataFrame, longest: int = LONG_WORD) -> DataFrame:
     """Links (word, n, other, other_n), once each, between words one edit apart."""
-    size = words.count()
-    edges, begun = _trie(words, size)
+    size, longest_here = words.agg(F.count("*"), F.max(F.length("word"))).first()
+    edges, begun = _trie(words.filter(F.length("word") <= longest), size)
     depths = edges.agg(F.min("depth"), F.max("depth")).first()
     found, states = [], None
-    for depth in range(depths[0] or 0, (depths[1] or -1) + 1):
+    for depth in range(depths[0], depths[1] + 1) if depths[0] is not None else ():
         fresh = begun.filter(F.col("depth") == depth).select(
             "way", "word", "n", F.col("depth").alias("position"), "node", F.lit(0).alias("edits")
         )
         states = fresh if states is None else states.unionByName(fresh)
         met = stage(_level(states, edges.filter(F.col("depth") == depth), depth), f"spelling-level-{depth}")
         states = met.filter("only IS NULL").select(STATE)
-        found.append(met.filter("only IS NOT NULL").select("way", "word", "n", "only", "only_n"))
+        forwards = lambda c: F.when(F.col("way") == 1, F.reverse(c)).otherwise(F.col(c))
+        found.append(
+            met.filter("only IS NOT NULL").select(
+                forwards("word").alias("word"), "n", forwards("only").alias("other"), F.col("only_n").alias("other_n")
+            )
+        )
+    if (longest_here or 0) > longest:
+        found.append(_near_long(words, longest))
     if not found:
         return words.select("word", "n", F.col("word").alias("other"), F.col("n").alias("other_n")).limit(0)
     every = found[0]
     for some in found[1:]:
         every = every.unionByName(some)
-    forwards = lambda c: F.when(F.col("way") == 1, F.reverse(c)).otherwise(F.col(c))
-    every = every.select(forwards("word").alias("word"), "n", forwards("only").alias("other"), F.col("only_n").alias("other_n"))
-    return every.filter(F.levenshtein("word", "other") == 1).distinct()
+    # A pair of long runs may come from either side.
+    every = every.filter(F.levenshtein("word", "other", 1) == 1)
+    swapped = F.col("word") > F.col("other")
+    return every.select(
+        *[F.when(swapped, F.col(b)).otherwise(F.col(a)).alias(a) for a, b in (("word", "other"), ("n", "other_n"), ("other", "word"), ("other_n", "n"))]
+    ).distinct()
 
 
 def _roots(forms: DataFrame, most: int, factor: int, least: int) -> DataFrame:
