@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import chat_format, html_text, language_id, language_model, licenses, url_filter
+from shelfcast.llm.conversation_trie import conversation_trie
 from shelfcast.llm.decontamination import contamination
 from shelfcast.llm.packing import pack_documents
 from shelfcast.llm.quality_rules import RULES, STOP_WORDS, Rule, judge_quality
@@ -112,6 +113,10 @@ def op11_spelling(spark: SparkSession, folder: str) -> DataFrame:
     return spelling_variants(table(spark, folder, "documents"))
 
 
+def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
+    return conversation_trie(table(spark, folder, "conversations"))
+
+
 def _rule_sql(rule: Rule) -> str:
     ratio = f"{rule.over}::DOUBLE / nullif({rule.under}, 0)"
     bounds = [f"{ratio} < {rule.least}"] * (rule.least is not None) + [f"{ratio} > {rule.most}"] * (rule.most is not None)
@@ -264,7 +269,44 @@ SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)
 """
 
 
+_TRIE_SQL = rf"""
+WITH {_CRC_TABLE},
+told AS (
+  SELECT conv_id, turn, sha256(octet_length(encode(coalesce(role, '')))::VARCHAR || ':' || coalesce(role, '') || coalesce(text, '')) AS d,
+         octet_length(encode(coalesce(text, ''))) AS size
+  FROM conversations WHERE conv_id IS NOT NULL),
+placed AS (SELECT *, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, d) AS p FROM told),
+ids AS (
+  SELECT c.conv_id, {_crc_sql("list_transform(string_split(c.conv_id::VARCHAR, ''), lambda x: unicode(x)::BIGINT)")} % 9 AS h
+  FROM (SELECT DISTINCT conv_id FROM told) c, crc_table),
+turns AS (
+  SELECT i.conv_id, 0 AS part, p, d, size FROM ids i JOIN placed o ON o.conv_id = i.conv_id - i.conv_id % 5 AND p <= h
+  UNION ALL SELECT i.conv_id, 1, p, d, size FROM ids i JOIN placed o ON o.conv_id = i.conv_id AND p > h),
+paths AS (
+  SELECT i.conv_id, coalesce(list(d ORDER BY part, p) FILTER (d IS NOT NULL), []) AS path,
+         coalesce(list(size ORDER BY part, p) FILTER (d IS NOT NULL), []) AS sizes
+  FROM ids i LEFT JOIN turns USING (conv_id) GROUP BY i.conv_id),
+starts AS (SELECT conv_id, unnest(range(len(path) + 1)) AS depth, path, sizes FROM paths),
+nodes AS (
+  SELECT depth, path[1:depth] AS key, any_value(CASE WHEN depth > 0 THEN sizes[depth] ELSE 0 END) AS size,
+         min(conv_id) AS conv_id, count(*) AS n_convs,
+         sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (len(path) = depth), '')) AS ends_sha256
+  FROM starts GROUP BY ALL),
+parents AS (
+  SELECT n.*, p.conv_id AS parent_conv_id
+  FROM nodes n LEFT JOIN nodes p ON p.depth = n.depth - 1 AND p.key = n.key[1:n.depth - 1]),
+kids AS (SELECT key[1:depth - 1] AS key, count(*) AS n_children FROM nodes WHERE depth > 0 GROUP BY ALL),
+known AS (SELECT p.*, coalesce(k.n_children, 0) AS n_children FROM parents p LEFT JOIN kids k USING (key)),
+spread AS (
+  SELECT key[1:d] AS key, leaf, saved
+  FROM (SELECT key, n_children = 0 AS leaf, (n_convs - 1) * size AS saved, unnest(range(depth + 1)) AS d FROM known)),
+summed AS (SELECT key, count(*) FILTER (leaf) AS n_leaves, sum(saved)::BIGINT AS saved_tokens FROM spread GROUP BY key)
+SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256 FROM known JOIN summed USING (key)
+"""
+
+
 ORACLE = {
+    "op12_conversation_trie": _TRIE_SQL,
     "op11_spelling": _SPELLING_SQL,
     "op2_chat_format": _chat_sql(),
     "op3_url_filter": _URL_SQL,
@@ -289,4 +331,5 @@ QUERIES: dict[str, Query] = {
     "op9_packing": op9_packing,
     "op10_simhash": op10_simhash,
     "op11_spelling": op11_spelling,
+    "op12_conversation_trie": op12_conversation_trie,
 }
