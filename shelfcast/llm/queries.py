@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfcast.llm import chat_format, html_text, language_id, language_model, licenses, url_filter
+from shelfcast.llm import chat_format, html_text, language_id, language_model, licenses, personal_data, url_filter
 from shelfcast.llm.conversation_trie import conversation_trie
 from shelfcast.llm.decontamination import contamination
 from shelfcast.llm.packing import pack_documents
@@ -117,6 +117,19 @@ def op12_conversation_trie(spark: SparkSession, folder: str) -> DataFrame:
     return conversation_trie(table(spark, folder, "conversations"))
 
 
+def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents")
+    found = personal_data.find_personal_data(docs, personal_data.fit(docs))
+    base = F.filter("spans", lambda s: s["by_pattern"])
+    told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+    return found.select(
+        "doc_id",
+        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal_data.KINDS],
+        F.sha2(told(base), 256).alias("base_sha256"),
+        told(F.col("spans")).alias("spans"),
+    )
+
+
 def _rule_sql(rule: Rule) -> str:
     ratio = f"{rule.over}::DOUBLE / nullif({rule.under}, 0)"
     bounds = [f"{ratio} < {rule.least}"] * (rule.least is not None) + [f"{ratio} > {rule.most}"] * (rule.most is not None)
@@ -332,4 +345,5 @@ QUERIES: dict[str, Query] = {
     "op10_simhash": op10_simhash,
     "op11_spelling": op11_spelling,
     "op12_conversation_trie": op12_conversation_trie,
+    "op13_personal_data": op13_personal_data,
 }
