@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfcast.llm import chat_format, html_text, language_id, language_model, licenses, personal_data, url_filter
@@ -121,10 +121,14 @@ def op13_personal_data(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents")
     found = personal_data.find_personal_data(docs, personal_data.fit(docs))
     base = F.filter("spans", lambda s: s["by_pattern"])
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(base, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
     told = lambda spans: F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
     return found.select(
         "doc_id",
-        *[F.size(F.filter(base, lambda s, k=k: s["kind"] == k)).cast("long").alias(f"n_{k}") for k in personal_data.KINDS],
+        *[count(kind) for kind in personal_data.KINDS],
         F.sha2(told(base), 256).alias("base_sha256"),
         told(F.col("spans")).alias("spans"),
     )
