@@ -11,6 +11,8 @@ from pyspark.sql import functions as F
 
 from shelfcast.functions.history import all_zero
 from shelfcast.operators import encoding, explore, features, folds, panel as P, quality, selection
+from shelfcast.operators.boosting import Boost, search_boosted
+from shelfcast.operators.boosting import train_boosted as fit_boosted
 from shelfcast.operators.training import aligned_models, linear_score, mean_absolute_error, search, train
 from shelfcast.plans import forecasting
 from shelfcast.plans.preparation import (
@@ -21,7 +23,7 @@ from shelfcast.plans.preparation import (
     model_rows,
     prepare,
 )
-from shelfcast.plans.retraining import Registry, TrainingSet, training_set
+from shelfcast.plans.retraining import Registry, TrainingSet, encoded_rows, with_selected
 from shelfcast.schema import (
     HORIZON,
     MODEL_COLUMNS,
@@ -404,11 +406,11 @@ _trained: dict[tuple, object] = {}
 
 
 def _version(spark: SparkSession, folder: str) -> int:
-    """Tells one state of the input's files from another."""
-    files = spark.read.parquet(f"{folder}/lineitem.parquet").select(
-        "_metadata.file_path", "_metadata.file_size", "_metadata.file_modification_time"
-    ).distinct()
-    return files.agg(F.sum(F.xxhash64(*files.columns).cast("decimal(38,0)"))).first()[0]
+    """Tells one state of the input's files from another, from their listing alone."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/lineitem.parquet")
+    store = path.getFileSystem(spark._jsc.hadoopConfiguration())
+    files = store.listStatus(path)
+    return hash(tuple(sorted((f.getPath().toString(), f.getLen(), f.getModificationTime()) for f in files)))
 
 
 def _once(spark: SparkSession, folder: str, name: str, make: Callable[[], object]):
@@ -455,8 +457,12 @@ def production_rows(spark: SparkSession, folder: str) -> DataFrame:
     return frame.withColumn("sales", sales).select(*MODEL_COLUMNS)
 
 
+def _encoded_set(spark: SparkSession, folder: str) -> TrainingSet:
+    return _once(spark, folder, "encoded-set", lambda: encoded_rows(work_rows(spark, folder)))
+
+
 def _training_set(spark: SparkSession, folder: str) -> TrainingSet:
-    return _once(spark, folder, "training-set", lambda: training_set(work_rows(spark, folder)))
+    return _once(spark, folder, "training-set", lambda: with_selected(_encoded_set(spark, folder)))
 
 
 def _registry(spark: SparkSession, folder: str) -> Registry:
@@ -534,23 +540,49 @@ def _left_gradients(spark: SparkSession, folder: str, models: DataFrame) -> Data
 
 
 def hyper_search(spark: SparkSession, folder: str) -> DataFrame:
-    """The candidates of every series by rank, with the days they were tested on; `search`
-    itself also gives each one's error."""
+    """The penalties of every series by rank, with their error on each fold: ridge on the
+    best feature alone, which is a covariance over a variance, so that SQL can follow it."""
     ready = _training_set(spark, folder)
     best = W.partitionBy(*SERIES).orderBy("mean_mae", "l2")
-    found = search(ready.encoded, ready.selected, ready.features).select(
-        *SERIES,
-        F.row_number().over(best).alias("rank"),
-        "folds",
-        F.coalesce(F.col("mean_mae") >= F.lag("mean_mae").over(best), F.lit(True)).alias("in_order"),
-    )
-    tested = F.col("recency") <= folds.FOLDS * folds.TEST_ROWS
-    days = folds.with_recency(ready.encoded.select(*KEY)).groupBy(*SERIES).agg(
-        F.count("*").alias("rows"),
-        F.min(F.when(tested, F.col("date"))).alias("first_test_date"),
-        F.max("date").alias("last_test_date"),
-    )
-    return found.join(days, SERIES)
+    found = search(ready.encoded, ready.selected.where(F.col("rank") == 0), ready.features)
+    found = rounded(found, "mean_mae").withColumn("rank", F.row_number().over(best))
+    errors = [F.round(F.get("errors", F.lit(i)), 6).alias(f"error_{i}") for i in range(folds.FOLDS)]
+    return found.select(*SERIES, "l2", "rank", "folds", "mean_mae", *errors)
+
+
+BOOST = Boost(learning_rate=0.1, rounds=2, depth=2, l2=1.0)
+"""Small enough for SQL to grow the same trees."""
+SPLITS = [Boost(rate, 1, 1, l2) for rate in (0.1, 0.5) for l2 in (0.0, 1.0)]
+
+
+def _boosted(spark: SparkSession, folder: str) -> tuple[DataFrame, DataFrame]:
+    def make() -> tuple[DataFrame, DataFrame]:
+        ready = _encoded_set(spark, folder)
+        trees, models = fit_boosted(ready.encoded, ready.features, BOOST)
+        return stage(trees, "trees"), stage(models, "models")
+
+    return _once(spark, folder, "boosted", make)
+
+
+def train_boosted(spark: SparkSession, folder: str) -> DataFrame:
+    """Every node of the boosted trees of every series."""
+    trees, _ = _boosted(spark, folder)
+    return rounded(trees, "cut", "gain", "value")
+
+
+def boosted_search(spark: SparkSession, folder: str) -> DataFrame:
+    """Learning rates and penalties of one-split ensembles by rank, with the error of each fold."""
+    ready = _encoded_set(spark, folder)
+    found = search_boosted(ready.encoded, ready.features, SPLITS)
+    errors = [F.round(F.get("errors", F.lit(i)), 6).alias(f"error_{i}") for i in range(folds.FOLDS)]
+    return rounded(found.select(*SERIES, "learning_rate", "l2", "rank", "mean_mae", *errors), "mean_mae")
+
+
+def boosted_forecast(spark: SparkSession, folder: str) -> DataFrame:
+    """Eight days of every series, each predicted by its trees from the days before it."""
+    _, models = _boosted(spark, folder)
+    registry = Registry(_encoded_set(spark, folder).encoders, models)
+    return forecasting.recursive_forecast(production_rows(spark, folder), registry)
 
 
 def train_per_series(spark: SparkSession, folder: str) -> DataFrame:
@@ -670,6 +702,9 @@ QUERIES: dict[str, Query] = {
         feature_ranking,
         ts_folds,
         hyper_search,
+        train_boosted,
+        boosted_search,
+        boosted_forecast,
         train_per_series,
         model_roundtrip,
         score_one_day,

@@ -14,6 +14,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.operators.boosting import aligned_trees, tree_score
 from shelfcast.operators.folds import FOLDS, TEST_ROWS, fold_bounds
 from shelfcast.operators.panel import with_series_id
 from shelfcast.schema import SERIES, TARGET
@@ -25,7 +26,7 @@ MODEL_COLUMNS = (
     "store_id string, item_id string, features array<string>, weights array<double>, "
     "intercept double, l2 double, cv_mae double, rows bigint"
 )
-SEARCH_COLUMNS = "store_id string, item_id string, l2 double, mean_mae double, folds int"
+SEARCH_COLUMNS = "store_id string, item_id string, l2 double, mean_mae double, folds int, errors array<double>"
 
 
 def draw_candidates(
@@ -61,15 +62,16 @@ def _solve(x: np.ndarray, y: np.ndarray, l2: float) -> tuple[np.ndarray, float]:
 
 def _search(
     x: np.ndarray, y: np.ndarray, candidates: list[dict[str, float]], folds: int, test_rows: int
-) -> list[tuple[float, float, int]]:
-    """(l2, mean absolute error over the folds, folds used); x and y in date order."""
+) -> list[tuple[float, float, int, list[float]]]:
+    """(l2, mean absolute error over the folds, folds used, error of each); x and y in date
+    order, folds from the newest."""
     errors: list[list[float]] = [[] for _ in candidates]
     for start, end in fold_bounds(len(y), folds, test_rows):
         fit = _Ridge(x[:start], y[:start])
         for candidate, found in zip(candidates, errors):
             weights, intercept = fit.solve(candidate["l2"])
             found.append(np.abs(x[start:end] @ weights + intercept - y[start:end]).mean())
-    return [(c["l2"], float(np.mean(e)) if e else None, len(e)) for c, e in zip(candidates, errors)]
+    return [(c["l2"], float(np.mean(e)) if e else None, len(e), [float(v) for v in e]) for c, e in zip(candidates, errors)]
 
 
 def _matrix(rows: pd.DataFrame, chosen: pd.DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
@@ -97,10 +99,10 @@ def search(
 
     def run(key: tuple, rows: pd.DataFrame, chosen: pd.DataFrame) -> pd.DataFrame:
         if rows.empty or chosen.empty:
-            return pd.DataFrame(columns=["store_id", "item_id", "l2", "mean_mae", "folds"])
+            return pd.DataFrame(columns=["store_id", "item_id", "l2", "mean_mae", "folds", "errors"])
         _, x, y = _matrix(rows, chosen)
         results = _search(x, y, tried, folds, test_rows)
-        frame = pd.DataFrame(results, columns=["l2", "mean_mae", "folds"])
+        frame = pd.DataFrame(results, columns=["l2", "mean_mae", "folds", "errors"])
         frame.insert(0, "item_id", key[1])
         frame.insert(0, "store_id", key[0])
         return frame
@@ -129,7 +131,7 @@ def train(
             return pd.DataFrame(columns=columns)
         names, x, y = _matrix(rows, chosen)
         results = _search(x, y, tried, folds, test_rows)
-        l2, mae, _ = min(results, key=lambda r: (r[1] is None, r[1] or 0.0))
+        l2, mae, *_ = min(results, key=lambda r: (r[1] is None, r[1] or 0.0))
         weights, intercept = _solve(x, y, l2)
         values = [key[0], key[1], names, weights.tolist(), intercept, l2, mae, len(y)]
         return pd.DataFrame([values], columns=columns)
@@ -159,10 +161,22 @@ def whole_units(score: Column) -> Column:
     return F.round(score, 6).cast("int")
 
 
+def aligned(models: DataFrame, features: list[str]) -> DataFrame:
+    """Models of either kind, linear or of trees, in one common feature order."""
+    return aligned_trees(models, features) if "trees" in models.columns else aligned_models(models, features)
+
+
+def predicted(models: DataFrame, values: list[Column]) -> Column:
+    """What the aligned model next to a row says of its values, in whole units."""
+    if "trees" in models.columns:
+        return whole_units(tree_score(F.array(*[v.cast("double") for v in values])))
+    return whole_units(linear_score(values))
+
+
 def score(encoded: DataFrame, models: DataFrame, features: list[str]) -> DataFrame:
     """Predict every row with the model of its series; null for a series without one."""
-    joined = encoded.join(aligned_models(models, features), SERIES, "left")
-    prediction = whole_units(linear_score([F.col(f) for f in features]))
+    joined = encoded.join(aligned(models, features), SERIES, "left")
+    prediction = predicted(models, [F.col(f) for f in features])
     return with_series_id(joined).select(*SERIES, "series_id", "date", TARGET, prediction.alias("prediction"))
 
 

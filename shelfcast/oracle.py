@@ -372,20 +372,194 @@ LEARNED = (
   FROM scores) WHERE rank < 70"""
 )
 
+ENCODED_WORK = BASE + WORK.split(", work_features AS")[0] + ENCODED_ROWS.replace("FROM clean", "FROM work_clean")
+BOOST_UNIT, BOOST_BINS = 1048576, 16
+_list = ", ".join(f'CAST("{f}" AS DOUBLE)' for f in FEATURES)
+BINNED = (
+    ENCODED_WORK
+    + f""", sids AS (SELECT store_id, item_id, CAST(row_number() OVER (ORDER BY store_id, item_id) AS INTEGER) AS sid FROM series),
+learned AS MATERIALIZED (
+  SELECT sid, CAST(row_number() OVER (PARTITION BY sid ORDER BY date DESC) AS INTEGER) AS recency, CAST(sales AS BIGINT) AS y, [{_list}] AS xs
+  FROM encoded JOIN sids USING (store_id, item_id)),
+long_x AS (SELECT sid, recency, y, unnest(xs) AS x, unnest(range({len(FEATURES)}))::INTEGER AS feature FROM learned),
+edges AS MATERIALIZED (
+  SELECT sid, feature, list_sort(list_distinct(quantile_disc(x, [{", ".join(str(i / BOOST_BINS) for i in range(1, BOOST_BINS))}]))) AS e
+  FROM long_x GROUP BY ALL),
+placed AS MATERIALIZED (
+  SELECT l.sid, l.recency, l.y, l.feature, len(list_filter(e, lambda v: v < x))::INTEGER AS bin FROM long_x l JOIN edges USING (sid, feature)),
+names AS (SELECT unnest([{", ".join(f"'{f}'" for f in FEATURES)}]) AS name, unnest(range({len(FEATURES)}))::INTEGER AS feature)"""
+)
+
+
+def _gain(penalty: str) -> str:
+    part = lambda g, n: f"(({g}) / {BOOST_UNIT}.0::DOUBLE) * (({g}) / {BOOST_UNIT}.0::DOUBLE) / ({n} + {penalty})"
+    return f"{part('gl', 'nl')} + {part('(g - gl)', '(n - nl)')} - {part('g', 'n')}"
+
+
+def _trees(rounds: int, depth: int, rate: float, penalty: float) -> str:
+    """`nodes`: the trees of every series, level by level."""
+    state = f"state_0 AS (SELECT sid, recency, y, CAST(round(avg(y) OVER (PARTITION BY sid) * {BOOST_UNIT}) AS BIGINT) AS margin FROM learned)"
+    parts, made, last = [state], [], "state_0"
+    for tree in range(rounds):
+        at = f"at_{tree}_0"
+        parts.append(f"{at} AS (SELECT *, 1 AS node FROM {last})")
+        for level in range(depth):
+            name = f"{tree}_{level}"
+            parts.append(
+                f"""cells_{name} AS (
+  SELECT sid, node, feature, bin, CAST(sum(a.margin - a.y * {BOOST_UNIT}) AS BIGINT) AS g, count(*) AS n
+  FROM {at} a JOIN placed p USING (sid, recency) WHERE node >= {2**level} GROUP BY ALL),
+best_{name} AS MATERIALIZED (
+  SELECT *, {_gain(f"{penalty}")} AS gain FROM (
+    SELECT sid, node, feature, bin, sum(g) OVER l AS gl, sum(n) OVER l AS nl, sum(g) OVER w AS g, sum(n) OVER w AS n FROM cells_{name}
+    WINDOW l AS (PARTITION BY sid, node, feature ORDER BY bin), w AS (PARTITION BY sid, node, feature))
+  WHERE nl >= 20 AND n - nl >= 20
+  QUALIFY gain > 1e-6 AND row_number() OVER (PARTITION BY sid, node ORDER BY gain DESC, feature, bin) = 1),
+at_{tree}_{level + 1} AS MATERIALIZED (
+  SELECT a.sid, a.recency, a.y, a.margin, CASE WHEN b.sid IS NULL THEN a.node ELSE 2 * a.node + CAST(p.bin > b.bin AS INTEGER) END AS node
+  FROM {at} a LEFT JOIN best_{name} b ON b.sid = a.sid AND b.node = a.node
+  LEFT JOIN placed p ON p.sid = a.sid AND p.recency = a.recency AND p.feature = b.feature)"""
+            )
+            made.append(f"SELECT {tree} AS tree, sid, node, feature, bin, gain, CAST(n AS BIGINT) AS n, NULL::BIGINT AS value FROM best_{name}")
+            at = f"at_{tree}_{level + 1}"
+        last = f"state_{tree + 1}"
+        parts.append(
+            f"""leaves_{tree} AS (
+  SELECT sid, node, count(*) AS n, CAST(round({rate} * CAST(-sum(margin - y * {BOOST_UNIT}) AS DOUBLE) / (count(*) + {penalty})) AS BIGINT) AS value
+  FROM {at} GROUP BY ALL),
+{last} AS MATERIALIZED (SELECT a.sid, a.recency, a.y, a.margin + l.value AS margin FROM {at} a JOIN leaves_{tree} l USING (sid, node))"""
+        )
+        made.append(f"SELECT {tree}, sid, node, NULL, NULL, NULL, n, value FROM leaves_{tree}")
+    nodes = f"""nodes AS MATERIALIZED (
+  SELECT store_id, item_id, CAST(tree AS INTEGER) AS tree, CAST(node AS INTEGER) AS node, name AS feature, e[bin + 1] AS cut, gain, n AS rows,
+    value / {BOOST_UNIT}.0::DOUBLE AS value
+  FROM ({_union(made)}) m JOIN sids USING (sid) LEFT JOIN names USING (feature) LEFT JOIN edges ON edges.sid = m.sid AND edges.feature = m.feature)"""
+    return ", " + ",\n".join([*parts, nodes])
+
+
+BOOSTED = BINNED + _trees(2, 2, 0.1, 1.0)
+
+BOOSTED_SEARCH = (
+    BINNED
+    + f""", folded AS (SELECT unnest(range(5))::INTEGER AS fold),
+counted AS MATERIALIZED (
+  SELECT sid, feature, bin, least((recency - 1) // 8, 5) AS block, sum(y) AS s, count(*) AS n FROM placed GROUP BY ALL),
+bases AS MATERIALIZED (
+  SELECT sid, fold, CAST(round(avg(y) * {BOOST_UNIT}) AS BIGINT) AS margin FROM learned, folded WHERE recency > (fold + 1) * 8 GROUP BY ALL),
+fold_cells AS MATERIALIZED (
+  SELECT sid, fold, feature, bin, CAST(sum(n * margin - s * {BOOST_UNIT}) AS BIGINT) AS g, CAST(sum(n) AS BIGINT) AS n
+  FROM counted JOIN bases USING (sid) WHERE block > fold GROUP BY ALL),
+sums AS MATERIALIZED (
+  SELECT sid, fold, feature, bin, sum(g) OVER l AS gl, sum(n) OVER l AS nl, sum(g) OVER w AS g, sum(n) OVER w AS n FROM fold_cells
+  WINDOW l AS (PARTITION BY sid, fold, feature ORDER BY bin), w AS (PARTITION BY sid, fold, feature)),
+candidates AS (SELECT * FROM (VALUES (0, 0.1::DOUBLE, 0.0::DOUBLE), (1, 0.1, 1.0), (2, 0.5, 0.0), (3, 0.5, 1.0)) AS c(candidate, rate, l2)),
+best AS MATERIALIZED (
+  SELECT *, {_gain("l2")} AS gain FROM sums, (SELECT DISTINCT l2 FROM candidates) WHERE nl >= 20 AND n - nl >= 20
+  QUALIFY gain > 1e-6 AND row_number() OVER (PARTITION BY sid, fold, l2 ORDER BY gain DESC, feature, bin) = 1),
+roots AS (SELECT DISTINCT sid, fold, g, n FROM sums WHERE feature = 0),
+tested AS (
+  SELECT l.sid, l.recency, l.y, b.fold, b.margin, c.candidate, c.rate, c.l2, t.feature, t.bin, coalesce(t.g, r.g) AS g, coalesce(t.n, r.n) AS n, t.gl, t.nl
+  FROM learned l JOIN bases b ON b.sid = l.sid AND l.recency > b.fold * 8 AND l.recency <= (b.fold + 1) * 8 CROSS JOIN candidates c
+  JOIN roots r ON r.sid = b.sid AND r.fold = b.fold
+  LEFT JOIN best t ON t.sid = b.sid AND t.fold = b.fold AND t.l2 = c.l2),
+guessed AS (
+  SELECT q.sid, q.fold, q.candidate, q.rate, q.l2, q.y, q.margin + CAST(round(q.rate * CAST(-(CASE
+      WHEN q.bin IS NULL THEN q.g WHEN p.bin > q.bin THEN q.g - q.gl ELSE q.gl END) AS DOUBLE) / ((CASE
+      WHEN q.bin IS NULL THEN q.n WHEN p.bin > q.bin THEN q.n - q.nl ELSE q.nl END) + q.l2)) AS BIGINT) AS margin
+  FROM tested q LEFT JOIN placed p ON p.sid = q.sid AND p.recency = q.recency AND p.feature = q.feature),
+errors AS (
+  SELECT sid, candidate, rate, l2, fold, avg(abs(y - margin / {BOOST_UNIT}.0::DOUBLE)) AS error FROM guessed GROUP BY ALL),
+wide AS (
+  SELECT sid, candidate, rate, l2, list(error ORDER BY fold) AS e, round(avg(error), 9) AS mean_mae FROM errors GROUP BY ALL)
+SELECT store_id, item_id, rate AS learning_rate, l2, round(mean_mae, 6) AS mean_mae,
+  CAST(row_number() OVER (PARTITION BY sid ORDER BY mean_mae, candidate) AS INTEGER) AS rank,
+  {", ".join(f"round(e[{i + 1}], 6) AS error_{i}" for i in range(5))}
+FROM wide JOIN sids USING (sid)"""
+)
+
+
+def _boosted_forecast() -> str:
+    """Eight steps by the trees: the features of a day from the days so far, and a walk down each tree."""
+    steps = [
+        """, frame AS (
+  SELECT *, CAST(date_diff('day', (SELECT min(date) FROM day_panel), date) AS INTEGER) AS pos FROM day_panel),
+tree_bases AS (SELECT store_id, item_id, max(margin) / 1048576.0::DOUBLE AS base FROM state_0 JOIN sids USING (sid) GROUP BY ALL),
+seen AS (SELECT DISTINCT store_id, item_id, event_name_1 FROM features),
+so_far_0 AS (SELECT store_id, item_id, pos, CAST(sales AS INTEGER) AS sold FROM frame WHERE pos < 15)"""
+    ]
+    hot = ", ".join(
+        f"CASE WHEN s.event_name_1 = '{e}' AND k.event_name_1 IS NOT NULL THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS \"event_name_1_{e}\"" for e in EVENTS
+    )
+    for s in range(8):
+        rows = (
+            f"FROM (SELECT f.* EXCLUDE (sales, pos), CASE WHEN f.pos < {15 + s} THEN z.sold ELSE 0 END AS sales FROM frame f "
+            f"LEFT JOIN so_far_{s} z ON z.store_id = f.store_id AND z.item_id = f.item_id AND z.pos = f.pos WHERE f.pos >= {s}) panel"
+        )
+        listed = ", ".join(f'CAST("{f}" AS DOUBLE)' for f in FEATURES)
+        walk = [f"walk_{s}_0 AS (SELECT DISTINCT store_id, item_id, tree, 1 AS node FROM nodes)"]
+        for level in range(2):
+            walk.append(
+                f"""walk_{s}_{level + 1} AS (
+  SELECT w.store_id, w.item_id, w.tree, CASE WHEN n.feature IS NULL THEN w.node ELSE 2 * w.node + CAST(x.x > n.cut AS INTEGER) END AS node
+  FROM walk_{s}_{level} w JOIN nodes n ON n.store_id = w.store_id AND n.item_id = w.item_id AND n.tree = w.tree AND n.node = w.node
+  LEFT JOIN values_{s} x ON x.store_id = w.store_id AND x.item_id = w.item_id AND x.feature = n.feature)"""
+            )
+        steps.append(
+            _prepared(f"s{s}", rows)
+            + f""", values_{s} AS MATERIALIZED (
+  SELECT store_id, item_id, unnest([{listed}]) AS x, unnest([{", ".join(f"'{f}'" for f in FEATURES)}]) AS feature FROM (
+    SELECT s.* EXCLUDE (event_name_1, month, wday, weekday, sell_price), {hot}, {_values}
+    FROM s{s}_features s {_joins}
+    LEFT JOIN seen k ON k.store_id = s.store_id AND k.item_id = s.item_id AND k.event_name_1 = s.event_name_1
+    WHERE date_diff('day', (SELECT min(date) FROM day_panel), s.date) = {15 + s})),
+{", ".join(walk)},
+so_far_{s + 1} AS MATERIALIZED (
+  SELECT * FROM so_far_{s} UNION ALL
+  SELECT w.store_id, w.item_id, {15 + s}, CAST(trunc(round(b.base + max(n.value) FILTER (w.tree = 0) + max(n.value) FILTER (w.tree = 1), 6)) AS INTEGER)
+  FROM walk_{s}_2 w JOIN nodes n ON n.store_id = w.store_id AND n.item_id = w.item_id AND n.tree = w.tree AND n.node = w.node
+  JOIN tree_bases b ON b.store_id = w.store_id AND b.item_id = w.item_id GROUP BY w.store_id, w.item_id, b.base)"""
+        )
+    return "".join(steps) + (
+        f" SELECT {', '.join('f.' + c for c in MODEL_COLUMNS.split(', ') if c != 'sales')}, s.sold AS sales, "
+        "CASE WHEN f.pos < 15 THEN 'known' ELSE 'forecast' END AS origin "
+        "FROM frame f JOIN so_far_8 s ON s.store_id = f.store_id AND s.item_id = f.item_id AND s.pos = f.pos WHERE f.pos >= 8"
+    )
+
+
+HYPER_SEARCH = (
+    ENCODED_WORK
+    + WORK_SCORES[len(ENCODED_ROWS.replace("FROM clean", "FROM work_clean")):]
+    + f""", top AS (
+  SELECT store_id, item_id, feature FROM scores
+  QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY round(mutual_information, 9) DESC, feature) = 1),
+one_x AS MATERIALIZED (
+  SELECT u.*, row_number() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) AS recency FROM (
+    SELECT store_id, item_id, date, CAST(sales AS DOUBLE) AS y, feature, x FROM (
+      SELECT store_id, item_id, date, sales, {", ".join(f'CAST("{f}" AS DOUBLE) AS "{f}"' for f in FEATURES)} FROM encoded)
+    UNPIVOT (x FOR feature IN ({", ".join(f'"{f}"' for f in FEATURES)}))) u JOIN top USING (store_id, item_id, feature)),
+fits AS (
+  SELECT store_id, item_id, fold, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS c, var_pop(x) AS v
+  FROM one_x, (SELECT unnest(range(5)) AS fold) WHERE recency > 8 * (fold + 1) GROUP BY ALL),
+errors AS (
+  SELECT o.store_id, o.item_id, l2, fold, avg(abs(my + CASE WHEN v > 1e-24 THEN c / v / (1 + l2) ELSE 0 END * (x - mx) - y)) AS error
+  FROM one_x o JOIN fits f ON f.store_id = o.store_id AND f.item_id = o.item_id AND recency > 8 * fold AND recency <= 8 * (fold + 1),
+    (SELECT unnest([0.0001, 0.001, 0.01, 0.1, 1.0])::DOUBLE AS l2) GROUP BY ALL),
+wide AS (
+  SELECT store_id, item_id, l2, CAST(count(*) AS INTEGER) AS folds, round(avg(error), 6) AS mean_mae, list(error ORDER BY fold) AS e
+  FROM errors GROUP BY ALL)
+SELECT store_id, item_id, l2, CAST(row_number() OVER (PARTITION BY store_id, item_id ORDER BY mean_mae, l2) AS INTEGER) AS rank, folds, mean_mae,
+  {", ".join(f"round(e[{i + 1}], 6) AS error_{i}" for i in range(5))}
+FROM wide"""
+)
+
 ORACLE: dict[str, str] = {
     "train_per_series": LEARNED,
     "model_roundtrip": LEARNED,
-    "hyper_search": BASE
-    + WORK
-    + """, numbered AS (
-  SELECT *, row_number() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) AS recency FROM work_features),
-tested AS (
-  SELECT store_id, item_id, count(*) AS rows, min(date) FILTER (recency <= 40) AS first_test_date, max(date) AS last_test_date
-  FROM numbered GROUP BY ALL)
-SELECT store_id, item_id, CAST(rank AS INTEGER) AS rank,
-  CAST(len(list_filter([0, 1, 2, 3, 4], lambda fold: rows - 8 * (fold + 1) >= 1)) AS INTEGER) AS folds,
-  true AS in_order, rows, first_test_date, last_test_date
-FROM tested, (SELECT unnest([1, 2, 3, 4, 5]) AS rank)""",
+    "hyper_search": HYPER_SEARCH,
+    "train_boosted": BOOSTED
+    + " SELECT store_id, item_id, tree, node, feature, round(cut, 6) AS cut, round(gain, 6) AS gain, rows, round(value, 6) AS value FROM nodes",
+    "boosted_search": BOOSTED_SEARCH,
+    "boosted_forecast": BOOSTED + _prepared("day", FRAME).replace("SELECT panel.* *", "SELECT panel.*") + _boosted_forecast(),
     "score_one_day": BASE + GIVEN + _prepared("day", FRAME).replace("SELECT panel.* *", "SELECT panel.*") + f" {_scored(_oldest('day_features'))}",
     "evaluate_holdout": BASE
     + GIVEN

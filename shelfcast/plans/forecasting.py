@@ -10,11 +10,10 @@ from shelfcast.operators.encoding import folded_one_hot, folded_target_encoding
 from shelfcast.operators.features import feature_names
 from shelfcast.operators.panel import keep_oldest_day, last_rows
 from shelfcast.operators.training import (
-    aligned_models,
-    linear_score,
+    aligned,
     mean_absolute_error,
+    predicted,
     score,
-    whole_units,
 )
 from shelfcast.plans.preparation import encode, encoded_feature_names, prepare
 from shelfcast.plans.retraining import Registry
@@ -95,7 +94,7 @@ def forecast_days(rows: DataFrame, registry: Registry, steps: int = HORIZON) ->
     categories = encoders.categories()
     names = encoded_feature_names(categories)
     known_days = (
-        packed.join(aligned_models(registry.models, names), SERIES)
+        packed.join(aligned(registry.models, names), SERIES)
         .join(folded_one_hot(encoders.one_hot, list(categories)), SERIES, "left")
         .join(folded_target_encoding(encoders.target, TARGET_ENCODED_COLUMNS), SERIES, "left")
     )
@@ -127,7 +126,7 @@ def forecast_days(rows: DataFrame, registry: Registry, steps: int = HORIZON) ->
             ]
         for column in TARGET_ENCODED_COLUMNS:
             values.append(F.coalesce(F.try_element_at(f"_map_{column}", day[column]), F.col("_prior")))
-        return whole_units(linear_score(values))
+        return predicted(registry.models, values)
 
     history = F.array(*[on(SALES_LAGS - k)["sales"] for k in range(1, SALES_LAGS + 1)])
     to_come = F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), day_to_come)

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
 
+from shelfcast.operators.boosting import Boost, train_boosted
 from shelfcast.operators.selection import KEPT_FEATURES, mutual_information, preselect
 from shelfcast.operators.training import train
 from shelfcast.plans.preparation import Encoders, encode, encoded_feature_names, fit_encoders, prepare
-from shelfcast.session import stage
+from shelfcast.schema import SERIES
+from shelfcast.session import stage, stage_by_series
 from shelfcast.sources.tables import read_stage, write_stage
 
 
@@ -36,11 +38,12 @@ class TrainingSet:
     encoders: Encoders
     encoded: DataFrame
     features: list[str]
-    selected: DataFrame
+    selected: DataFrame | None = None
 
 
-def training_set(rows: DataFrame, kept: int = KEPT_FEATURES) -> TrainingSet:
-    """The encoded rows are read by selection, search and fit, so they are staged once.
+def encoded_rows(rows: DataFrame) -> TrainingSet:
+    """The encoded rows are read by selection, search and fit, so they are staged once, each
+    series in one place: none of the three shuffles them again.
 
     Fitting the encoders needs none of the wide features: its plan is pruned to the
     lags that decide which rows are complete.
@@ -49,12 +52,27 @@ def training_set(rows: DataFrame, kept: int = KEPT_FEATURES) -> TrainingSet:
     encoders = fit_encoders(features)
     categories = encoders.categories()
     names = encoded_feature_names(categories)
-    encoded = stage(encode(features, encoders, categories), "encoded")
-    selected = stage(preselect(mutual_information(encoded, names), kept), "selected")
-    return TrainingSet(encoders, encoded, names, selected)
+    encoded = stage_by_series(encode(features, encoders, categories), "encoded", SERIES)
+    return TrainingSet(encoders, encoded, names)
+
+
+def training_set(rows: DataFrame, kept: int = KEPT_FEATURES) -> TrainingSet:
+    return with_selected(encoded_rows(rows), kept)
+
+
+def with_selected(prepared: TrainingSet, kept: int = KEPT_FEATURES) -> TrainingSet:
+    scores = mutual_information(prepared.encoded, prepared.features)
+    return replace(prepared, selected=stage(preselect(scores, kept), "selected"))
 
 
 def retrain(rows: DataFrame, kept: int = KEPT_FEATURES) -> Registry:
     prepared = training_set(rows, kept)
     models = train(prepared.encoded, prepared.selected, prepared.features)
     return Registry(prepared.encoders, stage(models, "models"))
+
+
+def retrain_boosted(rows: DataFrame, boost: Boost = Boost()) -> Registry:
+    """A registry of boosted trees, which choose among all features themselves."""
+    prepared = encoded_rows(rows)
+    _, models = train_boosted(prepared.encoded, prepared.features, boost)
+    return Registry(prepared.encoders, stage(models, "models"))
