@@ -8,6 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfcast.functions.history import all_zero
 from shelfcast.operators import encoding, explore, features, folds, panel as P, quality, selection
@@ -137,6 +138,13 @@ def missing_days(spark: SparkSession, folder: str) -> DataFrame:
     return P.missing_days(work.where(F.year("date") == int(year)), f"{year}-01-01", f"{year}-12-31")
 
 
+def series_gaps(spark: SparkSession, folder: str) -> DataFrame:
+    """Stretches of days without a sale, for every series, between the first and last day of all."""
+    totals = retail.day_totals(spark, folder)
+    first, last = totals.agg(F.min("date").alias("d")).scalar(), totals.agg(F.max("date").alias("d")).scalar()
+    return P.gap_intervals(retail.daily_sales(totals), first, last)
+
+
 def semi_filter(spark: SparkSession, folder: str) -> DataFrame:
     totals = retail.day_totals(spark, folder)
     known = P.keep_known(retail.panel_of(totals), retail.sell_prices(totals), [*SERIES, "wm_yr_wk"])
@@ -171,6 +179,34 @@ def profile_columns(spark: SparkSession, folder: str) -> DataFrame:
     return quality.profile_columns(retail.panel(spark, folder))
 
 
+def merged_profile(spark: SparkSession, folder: str) -> DataFrame:
+    """Profiles of single days merged for all: exact counters, and whether the estimates keep
+    their bounds: distinct values within five in a hundred, a median's place within three."""
+    rows = _staged_panel(spark, folder, PROFILED)
+    profiles = stage(quality.daily_profiles(rows), "profiles")
+    merged = stage(rounded(quality.merge_profiles(profiles), "low", "high", "total"), "merged")
+    columns = [c for c in PROFILED if c != "date"]
+    medians = merged.where("median_estimate IS NOT NULL").select("variable", "median_estimate")
+    # One row per column.
+    counts = quality.value_counts(rows, columns).join(F.broadcast(medians), "variable", "left")
+    value = F.col("value").try_cast("double")
+    exact = counts.where("value IS NOT NULL").groupBy("variable").agg(
+        F.count("*").alias("distinct_values"),
+        F.sum("n").alias("filled"),
+        F.sum(F.when(value < F.col("median_estimate"), F.col("n")).otherwise(0)).alias("below"),
+        F.sum(F.when(value <= F.col("median_estimate"), F.col("n")).otherwise(0)).alias("up_to"),
+    )
+    near = F.abs(F.col("distinct_estimate") - F.col("distinct_values")) <= F.ceil(0.05 * F.col("distinct_values"))
+    middle = (F.col("below") <= 0.53 * F.col("filled")) & (F.col("up_to") >= 0.47 * F.col("filled"))
+    return merged.join(exact, "variable").select(
+        "variable", "non_null", "nulls", "low", "high", "total", "distinct_values",
+        (near & (F.col("median_estimate").isNull() | middle)).alias("within_bound"),
+    )
+
+
+PROFILED = ["date", "store_id", "item_id", "d", "sales", "sell_price", "month", "weekday", "event_name_1"]
+
+
 def duplicate_rows(spark: SparkSession, folder: str) -> DataFrame:
     table = retail.panel(spark, folder).drop("date")
     without_day = [c for c in table.columns if c != "d"]
@@ -335,6 +371,19 @@ def target_encode_unseen(spark: SparkSession, folder: str) -> DataFrame:
     return rounded(encoded.select(*KEY, *names), *names)
 
 
+def target_encode_folds(spark: SparkSession, folder: str) -> DataFrame:
+    """The encoder's state for each fold, which sees only what lies before its test block."""
+    state = encoding.fit_target_encoding_by_fold(_coded_sales(spark, folder), TARGET_ENCODED_COLUMNS)
+    return rounded(state, "mean", "prior", "encoding")
+
+
+def target_encode_past(spark: SparkSession, folder: str) -> DataFrame:
+    """Every row encoded from the rows before it."""
+    names = [f"{c}_te" for c in TARGET_ENCODED_COLUMNS]
+    encoded = encoding.encode_from_past(_coded_sales(spark, folder), TARGET_ENCODED_COLUMNS)
+    return rounded(encoded.select(*KEY, *names), *names)
+
+
 def encoded_table(spark: SparkSession, folder: str) -> DataFrame:
     prepared = prepare(_staged_panel(spark, folder, MODEL_COLUMNS))
     encoders = fit_encoders(prepared)
@@ -647,6 +696,25 @@ def csv_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return rows
 
 
+def csv_quarantine(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows written as text, some spoilt, and read again: those that parse, and the others
+    with the reason."""
+    rows, day = model_rows(retail.panel(spark, folder)), F.day("date")
+    spoilt = rows.select(
+        F.when(day == 21, "some day").otherwise(F.col("date").cast("string")).alias("date"),
+        *[c for c in MODEL_COLUMNS if c not in ("date", "sales")],
+        F.when(day == 13, "n/a").otherwise(F.col("sales").cast("string")).alias("sales"),
+        F.date_format("date", "yyyyMMdd").alias("line"),
+    )
+    path = _new_path(spark, "csv")
+    tables.write_csv(spoilt, path)
+    good, bad = tables.read_csv_apart(spark, path, T.StructType([*MODEL_SCHEMA.fields, T.StructField("line", T.StringType())]))
+    fields = F.split("record", ",")
+    at = lambda name: F.element_at(fields, [*MODEL_COLUMNS, "line"].index(name) + 1).alias(name)
+    told = bad.select(at("store_id"), at("item_id"), F.element_at(fields, -1).alias("line"), "reason")
+    return good.select(*SERIES, "line", F.lit(None).cast("string").alias("reason")).unionByName(told)
+
+
 def stage_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     path = _new_path(spark, "stage")
     tables.write_stage(retail.panel(spark, folder), path, ["store_id"])
@@ -663,12 +731,14 @@ QUERIES: dict[str, Query] = {
         analytic_table,
         temporal_split,
         missing_days,
+        series_gaps,
         semi_filter,
         sorted_head,
         series_key,
         drop_oldest_day,
         tail_per_series,
         profile_columns,
+        merged_profile,
         duplicate_rows,
         value_counts,
         event_crosstab,
@@ -695,6 +765,8 @@ QUERIES: dict[str, Query] = {
         onehot_unseen,
         target_encode,
         target_encode_unseen,
+        target_encode_folds,
+        target_encode_past,
         encoded_table,
         encoded_pooled,
         encoder_roundtrip,
@@ -714,6 +786,7 @@ QUERIES: dict[str, Query] = {
         mae,
         apply_forecast,
         csv_roundtrip,
+        csv_quarantine,
         stage_roundtrip,
     )
 } | {

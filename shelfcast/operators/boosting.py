@@ -362,7 +362,7 @@ def search_boosted(
     by_candidate = [F.array(*some[i * folds : (i + 1) * folds]) for i in range(len(candidates))]
     wide = rows.groupBy(*keys).agg(F.array(*by_candidate).alias("all")).select(*keys, F.posexplode("all").alias("candidate", "errors"))
     told = F.filter("errors", lambda e: e.isNotNull())
-    mean = F.aggregate(told, F.lit(0.0), lambda a, e: a + e) / F.size(told)
+    mean = F.aggregate(told, F.lit(0.0), lambda a, e: a + e) / F.nullif(F.size(told), F.lit(0))
     best = W.partitionBy(*keys).orderBy(F.col("mean_mae").asc_nulls_last(), "candidate")
     said = {
         name: F.get(F.array(*[F.lit(getattr(c, name)) for c in candidates]), F.col("candidate"))

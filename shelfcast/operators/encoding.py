@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from shelfcast.operators.folds import FOLDS, TEST_ROWS, with_recency
 from shelfcast.operators.quality import stacked
 from shelfcast.schema import SERIES, TARGET
 from shelfcast.session import stage
@@ -157,6 +158,71 @@ def fit_target_encoding(
     )
 
 
+def _blend(n: Column, total: Column, prior: Column, min_samples: float, smoothing: float) -> Column:
+    """The mean of a category drawn towards the prior, which is all that one row or none gives."""
+    weight = 1 / (1 + F.exp(-(n - min_samples) / smoothing))
+    return F.when(n <= 1, prior).otherwise(prior * (1 - weight) + total / n * weight)
+
+
+def fit_target_encoding_by_fold(
+    df: DataFrame,
+    columns: list[str],
+    folds: int = FOLDS,
+    test_rows: int = TEST_ROWS,
+    keys: list[str] = SERIES,
+    target: str = TARGET,
+    min_samples: float = 100,
+    smoothing: float = 1.0,
+) -> DataFrame:
+    """The state of `fit_target_encoding` for each fold, from the rows it learns from alone.
+
+    Rows are counted once, by the test block they are in; a fold adds up the blocks before
+    its own, so the repetition over folds is of counts, not of rows.
+    """
+    block = F.least(F.floor((F.col("recency") - 1) / test_rows), F.lit(folds)).cast("int").alias("block")
+    blocks = with_recency(df.select(*keys, "date", target, *columns), keys).select(*keys, target, *columns, block)
+    stats = (
+        stacked(blocks, columns, "string", keep=[*keys, target, "block"])
+        .groupBy(*keys, "variable", "value", "block")
+        .agg(F.count("*").alias("n"), F.sum(F.col(target).cast("double")).alias("total"))
+        .where("block > 0")
+        .withColumn("fold", F.explode(F.sequence(F.lit(0), F.col("block") - 1)))
+        .groupBy(*keys, "fold", "variable", "value")
+        .agg(F.sum("n").alias("n"), F.sum("total").alias("total"))
+    )
+    one = stats.where(F.col("variable") == columns[0])
+    prior = one.groupBy(*keys, "fold").agg((F.sum("total") / F.sum("n")).alias("prior"))
+    code = _blend(F.col("n"), F.col("total"), F.col("prior"), min_samples, smoothing)
+    return stats.join(prior, [*keys, "fold"]).select(
+        *keys, "fold", "variable", F.col("value").alias("category"), "n",
+        (F.col("total") / F.col("n")).alias("mean"), "prior", code.alias("encoding"),
+    )
+
+
+def encode_from_past(
+    df: DataFrame,
+    columns: list[str],
+    keys: list[str] = SERIES,
+    target: str = TARGET,
+    min_samples: float = 100,
+    smoothing: float = 1.0,
+) -> DataFrame:
+    """One `<column>_te` column each, from the rows before a row's date alone; null on the first.
+
+    Running sums per series and per category of a series: no row sees itself or a later one,
+    so any fold may learn from these codes.
+    """
+    before = lambda *by: W.partitionBy(*keys, *by).orderBy("date").rowsBetween(W.unboundedPreceding, -1)
+    amount = F.col(target).cast("double")
+    prior = F.sum(amount).over(before()) / F.count(target).over(before())
+    rows = df.withColumn("_prior", prior)
+    codes = []
+    for c in columns:
+        n, total = F.count(target).over(before(c)), F.sum(amount).over(before(c))
+        codes.append(_blend(n, total, F.col("_prior"), min_samples, smoothing).alias(f"{c}_te"))
+    return rows.select(*df.columns, *codes)
+
+
 def folded_target_encoding(state: DataFrame, columns: list[str], keys: list[str] = SERIES) -> DataFrame:
     """One row per key: its prior and a category-to-value map per column."""
     known = state.where(F.col("category").isNotNull())

@@ -65,6 +65,21 @@ def densify(daily: DataFrame, days: DataFrame, keys: list[str] = SERIES) -> Data
     )
 
 
+def gap_intervals(days: DataFrame, first: Column, last: Column, keys: list[str] = SERIES) -> DataFrame:
+    """Stretches of days between `first` and `last` that a series has no row for: first_date,
+    last_date and days of each. A day with several rows counts once."""
+    in_order = W.partitionBy(*keys).orderBy("date")
+    around = days.select(*keys, "date", F.lag("date").over(in_order).alias("_before"), F.lead("date").over(in_order).alias("_after"))
+
+    def stretch(start: Column, end: Column) -> Column:
+        return F.struct(start.alias("first_date"), end.alias("last_date"), (F.date_diff(end, start) + 1).alias("days"))
+
+    after = stretch(F.date_add("date", 1), F.coalesce(F.date_sub("_after", 1), last))
+    before = F.when(F.col("_before").isNull(), stretch(first, F.date_sub("date", 1)))
+    found = around.select(*keys, F.explode(F.array(before, after)).alias("gap"))
+    return found.where("gap.days > 0").select(*keys, "gap.*")
+
+
 def attach_calendar(sales: DataFrame, calendar: DataFrame) -> DataFrame:
     """Left join on the day label; Spark broadcasts the calendar while it is small."""
     return sales.join(calendar, "d", "left")

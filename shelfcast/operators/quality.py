@@ -54,6 +54,43 @@ def profile_columns(df: DataFrame) -> DataFrame:
     )
 
 
+def daily_profiles(df: DataFrame, day: str = "date") -> DataFrame:
+    """Profile of each column and day, to be stored and merged: counters that add up and a
+    sketch of the distinct values; for amounts also their extremes, total and squares."""
+    columns = [c for c in df.columns if c != day]
+    amounts = columns_by_type(df.select(*columns), numeric=True)
+    counted = (
+        stacked(df, columns, "string", keep=[day])
+        .groupBy(day, "variable")
+        .agg(F.count("*").alias("rows"), F.count("value").alias("non_null"), F.hll_sketch_agg("value").alias("distinct"))
+    )
+    if not amounts:
+        return counted
+    value = F.col("value")
+    measured = (
+        stacked(df, amounts, "double", keep=[day])
+        .groupBy(day, "variable")
+        .agg(F.min(value).alias("low"), F.max(value).alias("high"), F.sum(value).alias("total"), F.kll_sketch_agg_double(value).alias("spread"))
+    )
+    return counted.join(measured, [day, "variable"], "left")
+
+
+def merge_profiles(profiles: DataFrame) -> DataFrame:
+    """Profiles of any days as one per column: exact counters, extremes and mean, and distinct
+    values and median within the bounds of their sketches. No row of the data is read again."""
+    merged = profiles.groupBy("variable").agg(
+        F.sum("non_null").alias("non_null"),
+        (F.sum("rows") - F.sum("non_null")).alias("nulls"),
+        F.hll_sketch_estimate(F.hll_union_agg("distinct")).alias("distinct_estimate"),
+        F.min("low").alias("low"),
+        F.max("high").alias("high"),
+        F.sum("total").alias("total"),
+        F.kll_merge_agg_double("spread").alias("spread"),
+    )
+    median = F.when(F.col("total").isNotNull(), F.kll_sketch_get_quantile_double("spread", F.lit(0.5)))
+    return merged.withColumn("median_estimate", median).drop("spread")
+
+
 def duplicate_rows(df: DataFrame, compared: dict[str, list[str]]) -> DataFrame:
     """How many rows repeat an earlier row in the columns of each comparison.
 

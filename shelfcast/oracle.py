@@ -259,6 +259,7 @@ def _pooled() -> str:
     )
 
 
+BLEND = "CASE WHEN n <= 1 THEN prior ELSE prior * (1 - 1 / (1 + exp(-(n - 100) / 1.0))) + total / n * (1 / (1 + exp(-(n - 100) / 1.0))) END"
 ROUNDED_STATE = "n, round(mean, 6) AS mean, round(prior, 6) AS prior, round(encoding, 6) AS encoding"
 NAIVE = """, naive AS (
   SELECT store_id, item_id, date, sales, CAST(trunc(m) AS INTEGER) AS prediction FROM (
@@ -706,6 +707,51 @@ FROM panel WHERE event_name_1 IS NOT NULL AND event_name_2 IS NOT NULL GROUP BY
     "onehot_event": f"{BASE}{FILLED} " + _one_hot(" ".join(EVENTS), "filled", "filled"),
     "onehot_unseen": f"{BASE}{FILLED}, seen AS (SELECT * FROM filled WHERE month <= 6) "
     + _one_hot("NewYear Sin_evento", "filled", "seen"),
+    "target_encode_folds": BASE
+    + ", numbered AS (SELECT *, row_number() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) AS recency FROM panel), "
+    + "learned AS (SELECT p.*, CAST(fold AS INTEGER) AS fold FROM numbered p, (SELECT unnest(range(5)) AS fold) WHERE recency > 8 * (fold + 1)), "
+    + "stats AS ("
+    + _union(
+        [
+            f"SELECT store_id, item_id, fold, '{c}' AS variable, CAST({c} AS VARCHAR) AS category, count(*) AS n, "
+            f"CAST(sum(sales) AS DOUBLE) AS total FROM learned GROUP BY store_id, item_id, fold, {c}"
+            for c in TE_COLUMNS
+        ]
+    )
+    + "), priors AS (SELECT store_id, item_id, fold, avg(sales) AS prior FROM learned GROUP BY ALL) "
+    + "SELECT store_id, item_id, fold, variable, category, n, round(total / n, 6) AS mean, round(prior, 6) AS prior, "
+    + f"round({BLEND}, 6) AS encoding FROM stats JOIN priors USING (store_id, item_id, fold)",
+    "target_encode_past": BASE
+    + ", past AS (SELECT store_id, item_id, date, avg(sales) OVER (PARTITION BY store_id, item_id ORDER BY date "
+    + "ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior, "
+    + ", ".join(
+        f"count(*) OVER {w} AS n_{c}, CAST(sum(sales) OVER {w} AS DOUBLE) AS total_{c}"
+        for c, w in (
+            (c, f"(PARTITION BY store_id, item_id, {c} ORDER BY date ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)") for c in TE_COLUMNS
+        )
+    )
+    + " FROM panel) SELECT store_id, item_id, date, "
+    + ", ".join(f"round({BLEND.replace('total', f'total_{c}').replace('n <=', f'n_{c} <=').replace('(n -', f'(n_{c} -').replace('/ n ', f'/ n_{c} ')}, 6) AS {c}_te" for c in TE_COLUMNS)
+    + " FROM past",
+    "series_gaps": BASE
+    + """, around AS (
+  SELECT store_id, item_id, date, row_number() OVER (PARTITION BY store_id, item_id ORDER BY date) AS rn
+  FROM (SELECT s.store_id, s.item_id, c.date FROM series s CROSS JOIN calendar c ANTI JOIN daily d
+    ON d.store_id = s.store_id AND d.item_id = s.item_id AND d.date = c.date))
+SELECT store_id, item_id, min(date) AS first_date, max(date) AS last_date, CAST(count(*) AS INTEGER) AS days
+FROM around GROUP BY store_id, item_id, date - CAST(rn AS INTEGER)""",
+    "merged_profile": BASE
+    + _union(
+        [
+            f"SELECT '{c}' AS variable, count({c}) AS non_null, count(*) - count({c}) AS nulls, "
+            + (f"CAST(min({c}) AS DOUBLE) AS low, CAST(max({c}) AS DOUBLE) AS high, CAST(sum({c}) AS DOUBLE) AS total, " if c in ("sales", "sell_price") else "NULL::DOUBLE AS low, NULL::DOUBLE AS high, NULL::DOUBLE AS total, ")
+            + f"count(DISTINCT {c}) AS distinct_values, true AS within_bound FROM panel"
+            for c in ("store_id", "item_id", "d", "sales", "sell_price", "month", "weekday", "event_name_1")
+        ]
+    ),
+    "csv_quarantine": BASE
+    + """SELECT store_id, item_id, strftime(date, '%Y%m%d') AS line, CASE day(date) WHEN 21 THEN 'date is not date'
+  WHEN 13 THEN 'sales is not int' END AS reason FROM panel""",
     "target_encode": f"{BASE}, te AS ({_target_state('panel', TE_COLUMNS)}) "
     f"SELECT store_id, item_id, variable, category, {ROUNDED_STATE} FROM te",
     "target_encode_unseen": f"{BASE}, seen AS (SELECT * FROM panel WHERE month <= 6), "

@@ -13,6 +13,7 @@ from shelfcast.plans.preparation import Encoders, encode, encoded_feature_names,
 from shelfcast.schema import SERIES
 from shelfcast.session import stage, stage_by_series
 from shelfcast.sources.tables import read_stage, write_stage
+from shelfcast.sources.versions import folder_of, new_version, publish
 
 
 @dataclass
@@ -22,13 +23,18 @@ class Registry:
     encoders: Encoders
     models: DataFrame
 
-    def save(self, path: str) -> None:
-        self.encoders.save(f"{path}/encoders")
-        write_stage(self.models, f"{path}/models")
+    def save(self, path: str) -> int:
+        """Publish as the newest version, whose number is returned; older ones stay."""
+        folder = new_version(path)
+        self.encoders.save(f"{folder}/encoders")
+        write_stage(self.models, f"{folder}/models")
+        return publish(self.models.sparkSession, path, folder)
 
     @staticmethod
-    def load(spark: SparkSession, path: str) -> Registry:
-        return Registry(Encoders.load(spark, f"{path}/encoders"), read_stage(spark, f"{path}/models"))
+    def load(spark: SparkSession, path: str, version: int | None = None) -> Registry:
+        """The newest version, or a given one."""
+        folder = folder_of(spark, path, version)
+        return Registry(Encoders.load(spark, f"{folder}/encoders"), read_stage(spark, f"{folder}/models"))
 
 
 @dataclass

@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shelfcast.session import stage
+
 
 # The columns of the order tables that the retail tables are made from.
 SOURCE_SCHEMAS = {
@@ -58,6 +61,37 @@ def read_csv(
     return raw.select(*[f.name for f in schema.fields])
 
 
+def read_csv_apart(spark: SparkSession, path: str, schema: T.StructType, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """The lines of CSV files that parse, and those that do not: file, record and reason.
+
+    Every line but the headers is in one of the two. The files are parsed once.
+    """
+    header = spark.read.option("header", True).option("sep", sep).csv(path).columns
+    types = {f.name: f for f in schema.fields}
+    laid = T.StructType([types.get(name, T.StructField(name, T.StringType())) for name in header])
+    whole = T.StructType([*laid.fields, T.StructField(BAD_RECORD, T.StringType())])
+    options = {"header": True, "sep": sep, "dateFormat": "yyyy-MM-dd", "enforceSchema": False, "mode": "PERMISSIVE"}
+    parsed = spark.read.schema(whole).options(columnNameOfCorruptRecord=BAD_RECORD, **options).csv(path)
+    parsed = stage(parsed.select("*", F.col("_metadata.file_path").alias("file")), "csv-lines")
+    texts = T.StructType([T.StructField(name, T.StringType()) for name in header])
+    wrong = [
+        F.when(
+            F.col("fields")[f.name].isNotNull() & F.col("fields")[f.name].try_cast(f.dataType).isNull(),
+            F.lit(f"{f.name} is not {f.dataType.simpleString()}"),
+        )
+        for f in laid.fields
+    ]
+    bad = parsed.where(F.col(BAD_RECORD).isNotNull()).withColumn(
+        "fields", F.from_csv(BAD_RECORD, texts.simpleString()[7:-1].replace(":", " "), {"sep": sep})
+    )
+    reason = F.coalesce(*wrong, F.lit("number of fields"))
+    good = parsed.where(F.col(BAD_RECORD).isNull()).select(*[f.name for f in schema.fields])
+    return good, bad.select("file", F.col(BAD_RECORD).alias("record"), reason.alias("reason"))
+
+
+BAD_RECORD = "_bad_record"
+
+
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     writer = df.write.mode("overwrite").option("header", True).option("sep", sep)
     writer.option("dateFormat", "yyyy-MM-dd").csv(path)
