@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.blocks import Block, blocks
+from shelfcast.llm.blocks import Block, blocks, mix
 from shelfcast.session import stage
 
 SAMPLE = 1200
@@ -69,7 +69,13 @@ class Grams:
         row = np.repeat(np.arange(len(block.rows), dtype=np.int64), np.diff(begins[block.offsets]))
         basic = points < 0x10000
         held = np.where(basic, points, 0)
-        points, lettered = np.where(basic, self.lower[held], points), np.where(basic, self.letter[held], True)
+        points, lettered = np.where(basic, self.lower[held], points), np.where(basic, self.letter[held], False)
+        if not basic.all():  # few different ones: emoji are no letters, Gothic or Deseret are
+            known, which = np.unique(points[~basic], return_inverse=True)
+            small = [chr(c).lower() for c in known.tolist()]
+            lower = np.array([ord(x) if len(x) == 1 else c for x, c in zip(small, known.tolist())], points.dtype)
+            points[~basic] = lower[which]
+            lettered[~basic] = np.array([chr(c).isalpha() for c in known.tolist()])[which]
         return points, row, lettered
 
     def counts(self, block: Block) -> tuple[np.ndarray, np.ndarray]:
@@ -263,7 +269,7 @@ def predict(docs: DataFrame, model: dict | None) -> DataFrame:
 # by the language that makes it likeliest, so a text may be of several.
 EVIDENCE_SLOTS = 1 << 16
 EVIDENCE_LETTERS = 2048
-"""Letters of a document of the sample that are counted."""
+"""Letters, about, that are drawn from a longer document of the sample, whole words by a hash."""
 UNSEEN = 0.1
 """The share of probability spread over all slots."""
 MARGIN = 5.0
@@ -293,10 +299,20 @@ def evidence_of(row: np.ndarray, slot: np.ndarray, begins: np.ndarray, logs: np.
     return np.where(n > 0, total / np.maximum(n, 1), -np.inf)
 
 
-def fit_evidence(docs: DataFrame, per_label: int = SAMPLE) -> dict | None:
+def _drawn_words(begins: np.ndarray, letters: int, seed: int) -> np.ndarray:
+    """Which letters of a text are drawn: of all its words, by a hash of their place."""
+    word = np.cumsum(begins).astype(np.uint64)
+    with np.errstate(over="ignore"):
+        marks = mix(word * np.uint64(0x9E3779B97F4A7C15) + np.uint64(seed))
+    return marks / 2.0**64 < letters / max(len(begins), 1)
+
+
+def fit_evidence(docs: DataFrame, per_label: int = SAMPLE, letters: int = EVIDENCE_LETTERS, seed: int = 5) -> dict | None:
     """Log probabilities of trigrams by language, and the least evidence of a text of theirs.
 
-    Learned on a bounded sample as the weights are. The bound comes from each sampled text
+    Learned on a bounded sample as the weights are: of `per_label` labelled documents, and of
+    a document with more than `letters` letters as many, about, drawn from all over it. Ties
+    go by the first label in order; without labelled rows there is no evidence. The bound comes from each sampled text
     scored as if its own letters had not been counted: as far below the first percentile as
     MARGIN times the distance from there to the median.
     """
@@ -307,7 +323,7 @@ def fit_evidence(docs: DataFrame, per_label: int = SAMPLE) -> dict | None:
         for block in blocks(batches, most_rows=BLOCK_ROWS):
             row, slot, begins = letters_in_words(grams, block)
             cut = np.searchsorted(row, np.arange(len(block.rows) + 1))
-            parts = [slice(a, min(b, a + EVIDENCE_LETTERS)) for a, b in zip(cut, cut[1:])]
+            parts = [a + np.flatnonzero(_drawn_words(begins[a:b], letters, seed)) for a, b in zip(cut, cut[1:])]
             columns = [
                 block.rows.column("lang"),
                 pa.array([slot[p].tobytes() for p in parts]),

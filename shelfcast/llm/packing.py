@@ -9,7 +9,7 @@ the fullest, the lowest bit of all, closes first.
 
 Pieces are small rows (no ids), written once. They are dealt evenly into groups by a serial
 number, so neither a hot source nor repeated rows fill a group, and each group of bounded
-size is packed in one task. The number of groups follows the number of pieces.
+size is packed in one task, its pieces in turn by that number, as they come. The number of groups follows the number of pieces.
 
 Defined results: a null text counts as empty and is one piece holding the end id; repeated
 rows are packed each; equal fits go to the bin that waits longest; an empty table gives an empty table.
@@ -33,8 +33,8 @@ from shelfcast.session import stage
 
 SEQUENCE = 2048
 END_ID = 0
-OPEN_BINS = 4096
-GROUP_PIECES = 8192
+OPEN_BINS = 256
+GROUP_PIECES = 16384
 PIECES = "doc_id long, piece int, start long, length long, ids_crc32 long, serial long"
 
 # Fixed value: how byte-level BPE vocabularies split a text into stretches.
@@ -138,7 +138,7 @@ def pack(pieces: DataFrame, size: int = SEQUENCE, open_bins: int = OPEN_BINS, gr
     groups = max(1, -(-partial.count() // group_pieces))
 
     def fit(key: tuple, rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by([("length", "descending"), ("serial", "ascending")])
+        rows = rows.sort_by("serial")
         bins, offsets = best_fit(rows.column("length").to_pylist(), size, open_bins)
         sequence = np.array(bins, np.int64) + (key[0].as_py() << 32)
         return rows.drop_columns(["group", "serial"]).append_column("sequence_id", pa.array(sequence)).append_column(

@@ -231,8 +231,27 @@ def test_packed_documents(spark, odd_docs, no_docs):
     assert packing.pack_documents(no_docs, vocabulary()).count() == 0
 
 
-def test_packing_wastes_little():
+def test_packing_wastes_little_in_order_of_arrival():
     rng = random.Random(1)
-    lengths = sorted((rng.randint(1, 2047) for _ in range(packing.GROUP_PIECES)), reverse=True)
+    lengths = [rng.randint(1, 2047) for _ in range(packing.GROUP_PIECES)]
     bins, _ = packing.best_fit(lengths)
-    assert (max(bins) + 1) * packing.SEQUENCE < 1.02 * sum(lengths)
+    assert (max(bins) + 1) * packing.SEQUENCE < 1.03 * sum(lengths)
+
+
+def test_pieces_come_in_turn_and_the_fullest_bin_closes(spark):
+    """Each group is packed online: as a plain search packs it in order of its serials."""
+    rng = random.Random(5)
+    rows = [(i, 0, 0, rng.randint(1, 19), 0, 1000 + i) for i in range(300)] + [(900, 0, 0, 20, 0, 7)]
+    pieces = spark.createDataFrame(rows, packing.PIECES).repartition(3)
+    got = packing.pack(pieces, size=20, open_bins=4, group_pieces=300).collect()
+    place = {r["doc_id"]: (r["sequence_id"], r["offset"]) for r in got}
+    bins, offsets = packing.best_fit([r[3] for r in rows[:300]], 20, 4)
+    assert [place[i] for i in range(300)] == list(zip(bins, offsets)) and place[900][1] == 0
+    assert len(got) == 301
+
+
+def test_a_very_long_text_is_cut_and_packed(spark, odd_docs):
+    long = odd_docs.filter("doc_id = 3")
+    ids = [*packing.encoder(vocabulary()).encode(long.first()["text"], allowed_special="all"), 0]
+    got = sorted((r["piece"], r["start"], r["length"]) for r in packing.pack_documents(long, vocabulary()).collect())
+    assert got == [(i, start, length) for i, (start, length) in enumerate(packing.cuts(len(ids)))] and len(got) > 40

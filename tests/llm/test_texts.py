@@ -132,3 +132,22 @@ def test_licenses_by_their_canonical_text(spark, odd_docs, no_docs):
     assert {r["doc_id"] for r in odd if r["digest"] is None} == {1, 2, 5}
     assert licenses.scan(no_docs, known).count() == 0
     assert licenses.scan(docs, licenses.known_digests(spark, {})).filter("license is not null").count() == 0
+
+
+def test_signs_beyond_the_basic_plane_are_no_letters_unless_they_are(spark):
+    text = {0: "the cat of the north", 1: "der hund und die katze"}
+    rows = [(i, text[i % 2], "en" if i % 2 == 0 else "de") for i in range(30)]
+    rows += [(100, "\U0001f600\U0001f680", None), (101, "\U0001f600 the cat of the north", None), (102, "\U00010330\U00010331", None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    model = language_id.fit(docs.filter("lang IS NOT NULL"))
+    got = {r["doc_id"]: r["lang_pred"] for r in language_id.predict(docs, model).collect()}
+    assert got[100] == language_id.UNDETERMINED and got[101] == "en" and got[102] in ("de", "en")
+
+
+def test_evidence_is_drawn_from_all_over_a_long_text():
+    begins = np.zeros(90_000, bool)
+    begins[::6] = True
+    drawn = language_id._drawn_words(begins, 2048, 5)
+    assert 1800 < drawn.sum() < 2300 and drawn[60_000:].any() and drawn[:30_000].any()
+    assert all(len(set(drawn[i : i + 6])) == 1 for i in range(0, 90_000, 6))
+    assert language_id._drawn_words(begins[:60], 2048, 5).all()
