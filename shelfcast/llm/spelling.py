@@ -186,7 +186,7 @@ def _paths(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _by_depth(df: DataFrame, name: str, rows: int) -> DataFrame:
     """`df` as a table in the shared folder with a folder of some files for each depth."""
     path = new_folder(df.sparkSession, name)
-    files = F.pmod(F.col("node"), F.lit(1 + rows // 2_000_000))
+    files = F.pmod(F.col("node"), F.lit(16 + rows // 500_000))
     df.repartition("depth", files).write.partitionBy("depth").parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
