@@ -71,6 +71,31 @@ def mapped(folder: str, name: str) -> np.ndarray:
         return np.memmap(copy, dtype, "r", copy.tell(), shape) if shape[0] else np.zeros(0, dtype)
 
 
+_KINDS = [np.dtype(np.int64), np.dtype(np.uint64), np.dtype(np.uint8)]
+
+
+def write_arrays(folder: str, name: str, arrays: list[np.ndarray]) -> None:
+    """Several arrays in one file, so that a worker needs one map for all of them."""
+    parts = [np.array([len(arrays), *(x for a in arrays for x in (_KINDS.index(a.dtype), len(a)))], np.int64).view(np.uint8)]
+    for array in arrays:
+        held = np.ascontiguousarray(array).view(np.uint8)
+        parts += [held, np.zeros(-len(held) % 8, np.uint8)]
+    write_array(folder, name, np.concatenate(parts))
+
+
+def mapped_arrays(folder: str, name: str) -> list[np.ndarray]:
+    """The arrays of one file, in turn."""
+    whole = np.asarray(mapped(folder, name))
+    number = int(whole[:8].view(np.int64)[0])
+    at = 8 + 16 * number
+    out = []
+    for kind, length in whole[8:at].view(np.int64).reshape(-1, 2).tolist():
+        size = length * _KINDS[kind].itemsize
+        out.append(whole[at : at + size].view(_KINDS[kind]))
+        at += size + -size % 8
+    return out
+
+
 SHARD_IDS = 1_000_000
 
 

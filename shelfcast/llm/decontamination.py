@@ -6,9 +6,11 @@ words, or all of a shorter item) ends where that length reaches the window's. Do
 streamed through it; of a block of texts only the stretches can match whose words and word
 pairs all occur in items, so these are found with numpy and only they are stepped through.
 
-Items are cut into blocks of at most `BLOCK_WORDS` words (or one item), each with an
-automaton of its own: a broadcast is never larger than that, however many items there are.
-The documents pass through the blocks, some at a time, without a shuffle.
+Items are cut into blocks of at most `BLOCK_WORDS` words, each with an automaton of its own;
+of a longer item, pieces that share all but one word of a window go to several blocks. Tasks
+build the automata and write them as arrays to the shared folder, where workers map them.
+The documents pass through `PASS_BLOCKS` of them at a time without a shuffle, and are
+written between two passes.
 
 Defined results: a null or empty text has no words and no hits; items without words match
 nothing; equal item ids count once, a null id is the empty string; rows are judged one by
@@ -18,47 +20,90 @@ one, so ties and repeats change nothing; no items, no hits.
 from __future__ import annotations
 
 import hashlib
+import uuid
 from collections.abc import Iterable, Iterator
-from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfcast.llm.arrays import mapped_arrays, new_folder, write_arrays
 from shelfcast.llm.blocks import LOWER, WORD_BYTE, Block, blocks, word_hashes, word_spans
+from shelfcast.session import stage
 
 WINDOW = 13
 COVERAGE = 20
 """A document goes if a `COVERAGE`-th of its words or more are hit."""
 BLOCK_WORDS = 100_000
-PASS_BLOCKS = 8
-"""Automata a worker holds at a time; beyond that the documents make another pass."""
+PASS_BLOCKS = 16
+"""Automata a worker maps at a time; beyond that the documents make another pass."""
+TASK_BLOCKS = 4
+"""Blocks of items that one task builds, about."""
+# Fixed value: the words of the contamination rule, for counting them.
+ITEM_WORD = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
 RUNS, ITEMS = "__hit_runs", "__hit_items"
 
 
-@dataclass
 class Automaton:
-    """Made of plain arrays, lists and dictionaries; moves are keyed state << 32 | word."""
-
-    window: int
-    words: list[bytes]
-    keys: np.ndarray
-    targets: np.ndarray
-    length: list[int]
-    link: list[int]
-    # State of a window of full length -> item ids; state -> (length, ids) of short items.
-    windows: dict[int, list[str]]
-    shorts: dict[int, list[tuple[int, list[str]]]]
-    least: int
-    pairs: np.ndarray
-
-    def __post_init__(self) -> None:
-        """What each worker derives for itself: lookups of words and of transitions."""
-        self.next = dict(zip(self.keys.tolist(), self.targets.tolist()))
-        hashes = hash_each(self.words)
-        self.order = np.argsort(hashes)
-        self.hashes = hashes[self.order]
+    """A view of the arrays that `build` makes; moves are keyed state << 32 | word."""
+
+    def __init__(self, arrays: list[np.ndarray]):
+        sizes, self.hashes, self.order, self.word_ends, self.word_bytes = arrays[:5]
+        self.window, self.least = sizes.tolist()
+        self.keys, self.targets, self.length, self.link, self.pairs = arrays[5:10]
+        # Items whose windows of full length end in a state; short items that end in one, and
+        # for each state the nearest one at or above it in which any does.
+        self.windows, self.window_bounds, self.window_items = arrays[10:13]
+        self.above, self.shorts, self.short_bounds, self.short_lengths, self.short_items = arrays[13:18]
+        self.name_ends, self.name_bytes = arrays[18:]
+
+    def word(self, number: int) -> bytes:
+        return _nth(self.word_ends, self.word_bytes, number)
+
+    def move(self, state: int, word: int) -> int:
+        """The state after one more word, or -1."""
+        key = state << 32 | word
+        at = int(self.keys.searchsorted(key))
+        return int(self.targets[at]) if at < len(self.keys) and self.keys[at] == key else -1
+
+    def _names(self, numbers: np.ndarray) -> Iterator[str]:
+        for number in numbers.tolist():
+            yield _nth(self.name_ends, self.name_bytes, number).decode()
+
+    def full(self, state: int) -> Iterator[str]:
+        """The items with the window that ends here."""
+        while self.length[self.link[state]] >= self.window:
+            state = int(self.link[state])
+        at = int(self.windows.searchsorted(state))
+        if at < len(self.windows) and self.windows[at] == state:
+            yield from self._names(self.window_items[self.window_bounds[at] : self.window_bounds[at + 1]])
+
+    def short(self, state: int, matched: int) -> Iterator[tuple[int, str]]:
+        """(words, item) of the short items that end here and lie in the matched stretch."""
+        at = int(self.above[state])
+        while at >= 0:
+            place = int(self.shorts.searchsorted(at))
+            mine = np.arange(self.short_bounds[place], self.short_bounds[place + 1])
+            mine = mine[self.short_lengths[mine] <= matched]
+            yield from zip(self.short_lengths[mine].tolist(), self._names(self.short_items[mine]))
+            at = int(self.above[self.link[at]])
+
+
+def _nth(ends: np.ndarray, data: np.ndarray, n: int) -> bytes:
+    return data[ends[n - 1] if n else 0 : ends[n]].tobytes()
+
+
+def _joined(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """Where each ends, and all in one."""
+    return np.cumsum([len(t) for t in texts], dtype=np.int64), np.frombuffer(b"".join(texts), np.uint8)
+
+
+def _lists(by_state: dict[int, list]) -> tuple[np.ndarray, np.ndarray, list]:
+    """States in order, the bounds of each one's entries, and all entries."""
+    states = sorted(by_state)
+    bounds = np.cumsum([0, *(len(by_state[s]) for s in states)], dtype=np.int64)
+    return np.array(states, np.int64), bounds, [x for s in states for x in sorted(by_state[s])]
 
 
 def words_of(text: bytes) -> list[bytes]:
@@ -74,8 +119,8 @@ def hash_each(words: list[bytes]) -> np.ndarray:
     return word_hashes(np.frombuffer(b"".join(words), np.uint8), ends - lengths, ends)
 
 
-def build(items: Iterable[tuple[str, list[bytes]]], window: int = WINDOW) -> dict:
-    """The fields of the automaton of (item id, words); also all word pairs, as sorted numbers."""
+def build(items: Iterable[tuple[str, list[bytes]]], window: int = WINDOW) -> list[np.ndarray]:
+    """The arrays of the automaton of (item id, words); also all word pairs, as sorted numbers."""
     items = [(name, words) for name, words in items if words]
     vocabulary: dict[bytes, int] = {}
     follow: list[dict[int, int]] = [{}]
@@ -116,9 +161,11 @@ def build(items: Iterable[tuple[str, list[bytes]]], window: int = WINDOW) -> dic
                 link[fresh] = split(p, word, follow[p][word])
             last = fresh
 
-    windows: dict[int, set[str]] = {}
-    ends: dict[int, dict[int, set[str]]] = {}
+    names: dict[str, int] = {}
+    windows: dict[int, set[int]] = {}
+    shorts: dict[int, set[tuple[int, int]]] = {}
     for name, ids in numbered:
+        number = names.setdefault(name, len(names))
         at = 0
         for n, word in enumerate(ids, 1):
             at = follow[at][word]
@@ -126,45 +173,89 @@ def build(items: Iterable[tuple[str, list[bytes]]], window: int = WINDOW) -> dic
                 # The class on the way up that holds the last `window` words.
                 while length[link[at]] >= window:
                     at = link[at]
-                windows.setdefault(at, set()).add(name)
+                windows.setdefault(at, set()).add(number)
         if len(ids) < window:
-            ends.setdefault(at, {}).setdefault(len(ids), set()).add(name)
-    shorts: dict[int, list[tuple[int, list[str]]]] = {}
-    if ends:
+            shorts.setdefault(at, set()).add((len(ids), number))
+    above = np.full(len(length), -1, np.int64)
+    if shorts:
         for v in sorted(range(1, len(length)), key=length.__getitem__):
-            found = [(n, sorted(s)) for n, s in ends.get(v, {}).items()] + shorts.get(link[v], [])
-            if found:
-                shorts[v] = found
+            above[v] = v if v in shorts else above[link[v]]
     size = len(vocabulary)
     pairs = np.unique(np.array([a * size + b for _, ids in numbered for a, b in zip(ids, ids[1:])], np.int64))
-    moves = [(s << 32 | w, t) for s, m in enumerate(follow) for w, t in m.items()]
-    both = np.array(moves, np.int64).reshape(-1, 2)
+    moves = np.array([(s << 32 | w, t) for s, m in enumerate(follow) for w, t in m.items()], np.int64).reshape(-1, 2)
+    moves = moves[np.argsort(moves[:, 0])]
     least = min([window, *(len(ids) for _, ids in numbered)])
-    return {
-        "window": window,
-        "words": list(vocabulary),
-        "keys": both[:, 0],
-        "targets": both[:, 1],
-        "length": length,
-        "link": link,
-        "windows": {s: sorted(x) for s, x in windows.items()},
-        "shorts": shorts,
-        "least": least,
-        "pairs": pairs,
-    }
-
-
-def item_blocks(items: DataFrame, most_words: int) -> Iterator[list[tuple[str, list[bytes]]]]:
-    """Items in blocks of at most `most_words` words, or of one longer item."""
+    hashes = hash_each(list(vocabulary))
+    order = np.argsort(hashes)
+    window_states, window_bounds, window_items = _lists(windows)
+    short_states, short_bounds, ending = _lists(shorts)
+    ending = np.array(ending, np.int64).reshape(-1, 2)
+    return [
+        np.array([window, least], np.int64),
+        hashes[order],
+        order,
+        *_joined(list(vocabulary)),
+        moves[:, 0],
+        moves[:, 1],
+        np.array(length, np.int64),
+        np.array(link, np.int64),
+        pairs,
+        window_states,
+        window_bounds,
+        np.array(window_items, np.int64),
+        above,
+        short_states,
+        short_bounds,
+        ending[:, 0],
+        ending[:, 1],
+        *_joined([name.encode() for name in names]),
+    ]
+
+
+def item_blocks(
+    items: Iterable[tuple[str, list[bytes]]], most_words: int, window: int
+) -> Iterator[list[tuple[str, list[bytes]]]]:
+    """Items in blocks of at most `most_words` words, or of one window.
+
+    A longer item comes in pieces; each of its windows is whole in one of them.
+    """
     block, size = [], 0
-    for row in items.select(F.col("item_id").cast("string"), "text").toLocalIterator():
-        words = words_of((row["text"] or "").encode())
-        if block and size + len(words) > most_words:
-            yield block
-            block, size = [], 0
-        block.append((row["item_id"] or "", words))
-        size += len(words)
-    yield block
+    longest = max(most_words, window)
+    for name, words in items:
+        for start in range(0, max(1, len(words) - window + 1), longest - window + 1):
+            piece = words[start : start + longest]
+            if block and size + len(piece) > most_words:
+                yield block
+                block, size = [], 0
+            if piece:
+                block.append((name, piece))
+                size += len(piece)
+    if block:
+        yield block
+
+
+def write_automata(items: DataFrame, folder: str, window: int = WINDOW, block_words: int = BLOCK_WORDS) -> list[str]:
+    """Build the automata of all items in tasks and write them; their names.
+
+    An attempt that is repeated writes under names of its own, and the names of the one that
+    counts come back.
+    """
+    items = items.select(F.col("item_id").cast("string").alias("item_id"), "text")
+    words = items.agg(F.sum(F.regexp_count("text", F.lit(ITEM_WORD)))).first()[0] or 0
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[str, list[bytes]]]:
+        for batch in batches:
+            for name, text in zip(batch.column("item_id"), batch.column("text")):
+                yield name.as_py() or "", words_of((text.as_py() or "").encode())
+
+    def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for block in item_blocks(read(batches), block_words, window):
+            name = f"automaton-{uuid.uuid4().hex}"
+            write_arrays(folder, name, build(block, window))
+            yield pa.RecordBatch.from_arrays([pa.array([name])], names=["name"])
+
+    dealt = items.repartition(max(1, -(-words // (TASK_BLOCKS * block_words))))
+    return sorted(r["name"] for r in dealt.mapInArrow(write, "name string").collect())
 
 
 class _Matches:
@@ -179,7 +270,7 @@ class _Matches:
 
     def stretches(self, automaton: Automaton) -> Iterator[tuple[int, np.ndarray]]:
         """(first word, word numbers) of each run long enough whose words and pairs items have."""
-        n, size, pairs = len(self.hashes), len(automaton.words), automaton.pairs
+        n, size, pairs = len(self.hashes), len(automaton.hashes), automaton.pairs
         if not n or not size:
             return
         place = np.minimum(np.searchsorted(automaton.hashes, self.hashes), size - 1)
@@ -203,35 +294,30 @@ class _Matches:
                 yield a, ids[a:b]
 
     def match(self, automaton: Automaton) -> None:
-        follow, length, link = automaton.next, automaton.length, automaton.link
-        windows, shorts, window = automaton.windows, automaton.shorts, automaton.window
+        length, link, window = automaton.length, automaton.link, automaton.window
         for first, ids in self.stretches(automaton):
             row = int(np.searchsorted(self.bounds, first, "right")) - 1
             state = matched = 0
             for at, word in enumerate(ids.tolist(), first):
                 # The hash said which word it is; make sure.
-                if automaton.words[word] != self.data[self.starts[at] : self.ends[at]].tobytes():
+                if automaton.word(word) != self.data[self.starts[at] : self.ends[at]].tobytes():
                     state = matched = 0
                     continue
-                to = follow.get(state << 32 | word)
-                while to is None and state:
-                    state = link[state]
-                    matched = length[state]
-                    to = follow.get(state << 32 | word)
-                if to is None:
+                to = automaton.move(state, word)
+                while to < 0 and state:
+                    state = int(link[state])
+                    matched = int(length[state])
+                    to = automaton.move(state, word)
+                if to < 0:
                     state = matched = 0
                     continue
                 state, matched = to, matched + 1
                 if matched >= window:
-                    up = state
-                    while length[link[up]] >= window:
-                        up = link[up]
                     self.hit[at - window + 1 : at + 1] = True
-                    self.items[row].update(windows.get(up, ()))
-                for n, names in shorts.get(state, ()):
-                    if n <= matched:
-                        self.hit[at - n + 1 : at + 1] = True
-                        self.items[row].update(names)
+                    self.items[row].update(automaton.full(state))
+                for n, name in automaton.short(state, matched):
+                    self.hit[at - n + 1 : at + 1] = True
+                    self.items[row].add(name)
 
     def to_carry(self) -> tuple[list[list[int]], list[list[str]]]:
         """Per row, first and last + 1 of each run of hit words, in turn; and the items."""
@@ -257,13 +343,8 @@ class _Matches:
         return self.starts[first], self.ends[last - 1], bounds
 
 
-def _broadcasts(docs: DataFrame, items: DataFrame, window: int, block_words: int) -> list:
-    context = docs.sparkSession.sparkContext
-    return [context.broadcast(build(block, window)) for block in item_blocks(items, block_words)]
-
-
-def _matched(batches: Iterator[pa.RecordBatch], automata: list) -> Iterator[tuple[Block, _Matches]]:
-    held = [Automaton(**shared.value) for shared in automata]
+def _matched(batches: Iterator[pa.RecordBatch], folder: str, names: list[str]) -> Iterator[tuple[Block, _Matches]]:
+    held = [Automaton(mapped_arrays(folder, name)) for name in names]
     for block in blocks(batches):
         found = _Matches(block)
         if RUNS in block.rows.schema.names:
@@ -273,22 +354,27 @@ def _matched(batches: Iterator[pa.RecordBatch], automata: list) -> Iterator[tupl
         yield block, found
 
 
-def _early_passes(docs: DataFrame, automata: list) -> tuple[DataFrame, list]:
-    """All blocks but the last `PASS_BLOCKS` done; what they hit goes along in two columns."""
-    while len(automata) > PASS_BLOCKS:
-        now, automata = automata[:PASS_BLOCKS], automata[PASS_BLOCKS:]
+def _early_passes(docs: DataFrame, items: DataFrame, window: int, block_words: int) -> tuple[DataFrame, str, list[str]]:
+    """All blocks but the last `PASS_BLOCKS` done; what they hit goes along in two columns.
+
+    Also the folder and the names of the automata that are left.
+    """
+    folder = new_folder(docs.sparkSession, "automata")
+    names = write_automata(items, folder, window, block_words)
+    while len(names) > PASS_BLOCKS:
+        now, names = names[:PASS_BLOCKS], names[PASS_BLOCKS:]
         if RUNS not in docs.columns:
             empty = F.array()
             docs = docs.withColumns({RUNS: empty.cast("array<long>"), ITEMS: empty.cast("array<string>")})
 
-        def match(batches: Iterator[pa.RecordBatch], now: list = now) -> Iterator[pa.RecordBatch]:
-            for block, found in _matched(batches, now):
-                runs, names = found.to_carry()
-                columns = [*block.rows.columns[:-2], pa.array(runs, pa.list_(pa.int64())), pa.array(names, pa.list_(pa.string()))]
+        def match(batches: Iterator[pa.RecordBatch], now: list[str] = now) -> Iterator[pa.RecordBatch]:
+            for block, found in _matched(batches, folder, now):
+                runs, hits = found.to_carry()
+                columns = [*block.rows.columns[:-2], pa.array(runs, pa.list_(pa.int64())), pa.array(hits, pa.list_(pa.string()))]
                 yield pa.RecordBatch.from_arrays(columns, names=block.rows.schema.names)
 
-        docs = docs.mapInArrow(match, docs.schema)
-    return docs, automata
+        docs = stage(docs.mapInArrow(match, docs.schema), "decontamination-pass")
+    return docs, folder, names
 
 
 def _contaminated(n_words: np.ndarray, n_hit: np.ndarray, coverage: int) -> np.ndarray:
@@ -299,10 +385,10 @@ def contamination(
     docs: DataFrame, items: DataFrame, window: int = WINDOW, coverage: int = COVERAGE, block_words: int = BLOCK_WORDS
 ) -> DataFrame:
     """Per document: its words, hit words, item ids found, hit byte spans and the verdict."""
-    automata = _broadcasts(docs, items, window, block_words)
+    rows, folder, names = _early_passes(docs.select("doc_id", "text"), items, window, block_words)
 
     def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, found in _matched(batches, automata):
+        for block, found in _matched(batches, folder, names):
             n_words, n_hit = np.diff(found.bounds).astype(np.int64), found.per_row().astype(np.int64)
             begin, end, bounds = found.spans()
             begin, end = begin - np.repeat(block.offsets[:-1], np.diff(bounds)), end - np.repeat(block.offsets[:-1], np.diff(bounds))
@@ -320,7 +406,6 @@ def contamination(
             )
 
     kind = docs.schema["doc_id"].dataType.simpleString()
-    rows, automata = _early_passes(docs.select("doc_id", "text"), automata)
     return rows.mapInArrow(
         judge,
         f"doc_id {kind}, n_words long, n_hit long, item_ids array<string>, "
@@ -340,10 +425,10 @@ def decontaminate(
     `n_chars`, where a document has it, follows the text.
     """
     names, schema = docs.columns, docs.schema
-    docs, automata = _early_passes(docs, _broadcasts(docs, items, window, block_words))
+    docs, folder, automata = _early_passes(docs, items, window, block_words)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, found in _matched(batches, automata):
+        for block, found in _matched(batches, folder, automata):
             n_words, n_hit = np.diff(found.bounds), found.per_row()
             keep = ~_contaminated(n_words, n_hit, coverage)
             rows = block.rows.select(names)

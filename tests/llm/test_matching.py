@@ -61,6 +61,33 @@ def test_contamination_equals_brute_force(spark, seed, block_words):
         assert len(ITEM_WORDS.findall(lower(inside))) == want[1]
 
 
+def test_more_automata_than_a_pass_holds(spark, tmp_path):
+    rng = random.Random(5)
+    say = lambda n: " ".join(rng.choice("ab cd É ef x9 gh".split()) for _ in range(n))
+    items = [(i, say(rng.choice([2, 6, 13, 16]))) for i in range(60)] + [(77, say(200))]
+    table = spark.createDataFrame(items, "item_id long, text string")
+    names = decontamination.write_automata(table, str(tmp_path), block_words=20)
+    assert len(names) > 2 * decontamination.PASS_BLOCKS
+    assert decontamination.write_automata(table.limit(0), str(tmp_path)) == []
+    texts = [say(40) for _ in range(20)] + [items[-1][1][90:300], items[0][1], None]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: r for r in decontamination.contamination(docs, table, block_words=20).collect()}
+    for i, want in enumerate(contamination_by_hand(texts, items)):
+        assert (got[i]["n_words"], got[i]["n_hit"], got[i]["item_ids"], got[i]["contaminated"]) == want
+    left = decontamination.decontaminate(docs, table, block_words=20)
+    assert left.columns == docs.columns
+    assert {r["doc_id"] for r in left.collect()} == {i for i in got if not got[i]["contaminated"]}
+
+
+def test_pieces_of_a_long_item_hold_each_window():
+    words = [b"%d" % i for i in range(100)]
+    blocks = list(decontamination.item_blocks([("a", words), ("b", words[:4]), ("c", [])], 20, 13))
+    assert all(sum(len(w) for _, w in block) <= 20 for block in blocks)
+    held = {tuple(w[i : i + 13]) for block in blocks for name, w in block if name == "a" for i in range(len(w) - 12)}
+    assert held == {tuple(words[i : i + 13]) for i in range(88)}
+    assert [w for block in blocks for name, w in block if name == "b"] == [words[:4]]
+
+
 def test_decontaminate_cuts_spans_and_drops_documents(spark, odd_docs, no_docs):
     item = "one two three four five six seven eight nine ten eleven twelve thirteen"
     items = spark.createDataFrame([(1, item)], "item_id long, text string")
