@@ -3,8 +3,9 @@
 A page is cut into blocks at block-level tags. First pass: blocks in menus, headers,
 footers, sidebars, forms, notices, adverts and comments (by element, role, class or id) are
 boilerplate; blocks of an article or main element are text; any other is judged by its
-link density, length and stop-word density. Short blocks stay undecided. Second pass: each
-of these takes the label of its nearest decided neighbours: where both agree, theirs; else
+link density, length and stop-word density. A main element is text wherever it stands but
+among comments, an article also inside menus, forms and layout names; a form that holds most
+of a page is no form of it. Short blocks stay undecided. Second pass: each of these takes the label of its nearest decided neighbours: where both agree, theirs; else
 that of the nearer, and of text where both are as near.
 
 Defined results: a null or empty page, and one without a block of text, has empty text;
@@ -16,7 +17,7 @@ from __future__ import annotations
 import html
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -40,6 +41,7 @@ BLOCKS = set(
     "tbody td tfoot th thead tr ul".split()
 )
 BOILERPLATE = set("nav footer aside form menu dialog header".split())
+ASIDE = set("footer aside".split())
 ROLES = set("navigation banner contentinfo complementary search form dialog alert alertdialog menu menubar".split())
 CONTENT = set("article main".split())
 HINTS = set(
@@ -48,11 +50,15 @@ HINTS = set(
     "breadcrumbs sidebar aside footer header masthead comment comments disqus reply replies respond related share sharing "
     "social widget toolbar pagination pager copyright disclaimer skip".split()
 )
-# Of these, also the articles inside are boilerplate: comments and teasers are articles too.
+# Of these, also the articles inside are boilerplate: teasers are articles too.
 LISTED = set(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion cookie cookies newsletter nav navbar "
-    "navigation menu aside comment comments disqus reply replies respond related widget".split()
+    "navigation menu aside sidebar related widget".split()
 )
+# Of these, also the main elements inside.
+REMARKS = set("comment comments disqus reply replies respond".split())
+# As a part of a longer name these say little: `menu-open`, `elementor-widget`, `related-work`.
+VAGUE = set("nav navbar navigation menu widget".split())
 # `has-header` and `with-sidebar` tell what a page has beside its text.
 MODIFIERS = set("has have with without no not hide show".split())
 IN_HEAD = set("base link meta title style script noscript template".split())
@@ -67,7 +73,11 @@ _PARTS = re.compile(r"[^a-z0-9]+")
 _CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
 _WORD = re.compile(r"[^\W\d_]+")
 
-TEXT, BOILER, WRAPPER, OPEN = "text", "boilerplate", "wrapper", None
+TEXT, BOILER, OPEN = "text", "boilerplate", None
+# Other places. Boilerplate, but for a main element inside; and for an article inside.
+COMMENTS, WRAPPER, FORM = "comments", "wrapper", "form"
+# Boilerplate unless it reads like text; related matter; a part of an article that may be.
+DOUBTFUL, RELATED, JUDGED = "doubtful", "related", "judged"
 
 
 @dataclass
@@ -81,37 +91,51 @@ class Piece:
 
 
 def _hinted(name: str, rest: str) -> str | None:
-    """What role, class and id say: BOILER, WRAPPER (so is all but an article inside) or nothing."""
+    """The place that role, class and id tell of; the strongest of several."""
     if name in ("html", "body") or "=" not in rest:
         return None
-    said = None
+    said = set()
     for kind, value in _NAMED.findall(rest):
         value = value.strip("\"'")
         if kind.lower() == "role":
             if value.lower() in ROLES:
-                return BOILER
+                said.add(BOILER)
         elif name not in CONTENT:
             for one in value.split():
                 parts = set(_PARTS.split(_CAMEL.sub("-", one).lower()))
                 if not HINTS & parts or MODIFIERS & parts:
                     continue
-                if LISTED & parts or one.lower() == "sidebar":
-                    return BOILER
-                said = WRAPPER
-    return said
+                if REMARKS & parts:
+                    said.add(COMMENTS)
+                elif one.lower() in LISTED or LISTED & parts - VAGUE - {"sidebar", "related"}:
+                    said.add(BOILER)
+                elif "related" in parts:
+                    said.add(RELATED)
+                else:
+                    said.add(DOUBTFUL if HINTS & parts <= VAGUE else WRAPPER)
+    return next((place for place in (COMMENTS, BOILER, RELATED, WRAPPER, DOUBTFUL) if place in said), None)
 
 
 def _place(name: str, rest: str, outer: str | None) -> str | None:
     """What blocks inside an element are, given what they are around it."""
     hint = _hinted(name, rest)
-    if outer == BOILER or hint == BOILER or name in BOILERPLATE and outer != TEXT:
+    inside = outer in (TEXT, JUDGED)
+    if COMMENTS in (outer, hint):
+        return COMMENTS
+    if name == "main" or re.search(r"""role\s*=\s*["']?main\b""", rest):
+        return TEXT
+    if BOILER in (outer, hint) or name in ASIDE or hint == RELATED and not inside:
         return BOILER
-    if hint:
-        return hint
+    if name == "article":
+        return JUDGED if outer == JUDGED else TEXT
+    if outer in (WRAPPER, FORM) or hint == WRAPPER:
+        return WRAPPER if hint == WRAPPER or name in BOILERPLATE else outer
     if name in BOILERPLATE:
         # The header of an article holds its title.
-        return TEXT if name == "header" else BOILER
-    return TEXT if name in CONTENT or re.search(r"""role\s*=\s*["']?main\b""", rest) else outer
+        return TEXT if name == "header" and outer == TEXT else FORM if name == "form" else WRAPPER
+    if hint in (DOUBTFUL, RELATED):
+        return JUDGED if inside else DOUBTFUL
+    return outer
 
 
 def pieces(page: str) -> list[Piece]:
@@ -188,10 +212,25 @@ def pieces(page: str) -> list[Piece]:
     return found
 
 
+def _without_whole_forms(blocks: list[Piece]) -> list[Piece]:
+    """Blocks of forms that hold most of a page's text, as if there were no form."""
+    inside = sum(len(b.text) for b in blocks if b.place == FORM)
+    if 2 * inside <= sum(len(b.text) for b in blocks):
+        return blocks
+    return [replace(b, place=None) if b.place == FORM else b for b in blocks]
+
+
 def first_pass(block: Piece) -> str | None:
     """A block's label by where it stands, its links, its length and its stop words."""
-    if block.place is not None:
-        return BOILER if block.place == WRAPPER else block.place
+    if block.place in (TEXT, BOILER):
+        return block.place
+    if block.place in (COMMENTS, WRAPPER, FORM):
+        return BOILER
+    label = _by_its_words(block)
+    return BOILER if block.place == DOUBTFUL and label != TEXT else label
+
+
+def _by_its_words(block: Piece) -> str | None:
     words = _WORD.findall(block.text.lower())
     if block.linked > MOST_LINKS * len(block.text):
         return BOILER
@@ -224,7 +263,7 @@ def second_pass(labels: list[str | None]) -> list[str]:
 
 
 def main_text(page: str | None) -> str:
-    blocks = pieces(page or "")
+    blocks = _without_whole_forms(pieces(page or ""))
     labels = second_pass([first_pass(b) for b in blocks])
     return " ".join(b.text for b, label in zip(blocks, labels) if label == TEXT)
 
