@@ -11,6 +11,7 @@ import os
 import shutil
 import tempfile
 import uuid
+from collections import OrderedDict
 from collections.abc import Iterator
 from urllib.parse import urlparse
 
@@ -71,6 +72,26 @@ def mapped(folder: str, name: str) -> np.ndarray:
         return np.memmap(copy, dtype, "r", copy.tell(), shape) if shape[0] else np.zeros(0, dtype)
 
 
+MOST_OPEN = 4096
+"""Maps a worker keeps open; systems limit them to some 65,000 a process."""
+
+
+class Maps:
+    """The arrays of a folder, each mapped when it is asked for; the last used stay open."""
+
+    def __init__(self, folder: str, most: int | None = None):
+        self.folder, self.most = folder, most or MOST_OPEN
+        self.held: OrderedDict[str, np.ndarray] = OrderedDict()
+
+    def __getitem__(self, name: str) -> np.ndarray:
+        if name not in self.held:
+            if len(self.held) >= self.most:
+                self.held.popitem(last=False)
+            self.held[name] = mapped(self.folder, name)
+        self.held.move_to_end(name)
+        return self.held[name]
+
+
 _KINDS = [np.dtype(np.int64), np.dtype(np.uint64), np.dtype(np.uint8)]
 
 

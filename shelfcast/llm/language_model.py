@@ -6,8 +6,8 @@ per range to the shared folder. Words are numbered by their place in the sorted
 hashes; a bigram's key is the pair of its numbers. Bigram ranges are cut at equal numbers of
 tokens; a word that begins more bigrams than a range may hold is cut by the second word.
 
-Scoring maps the arrays into memory and looks up a block of texts at a time by binary
-search. A word's probability after v is
+Scoring maps the arrays into memory as it needs them, keeps a fixed number of them open and
+looks up a block of texts at a time by binary search. A word's probability after v is
 
     (c(v w) - D(c(v w))) / c(v) + gamma(v) * p(w),
     p(w) = (n(w) - D'(n(w))) / n + gamma' / (V + 1)
@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfcast.llm.arrays import mapped, new_folder, shard_of, write_array
+from shelfcast.llm.arrays import Maps, new_folder, shard_of, write_array
 from shelfcast.llm.blocks import LOWER, WHITE_SPACE, Block, add_up, blocks, word_hashes, word_spans
 from shelfcast.session import stage
 
@@ -121,18 +121,18 @@ def _received(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
 class Vocabulary:
     """The mapped vocabulary; a word's number is its place in the order of hashes."""
 
-    def __init__(self, place: dict):
-        self.shards, self.starts = place["shards"], place["starts"]
-        self.keys = [mapped(place["folder"], f"words-{s:06d}") if n else None for s, n in enumerate(place["sizes"])]
+    def __init__(self, place: dict, maps: Maps):
+        self.shards, self.starts, self.sizes, self.maps = place["shards"], place["starts"], place["sizes"], maps
 
     def numbers(self, hashes: np.ndarray) -> np.ndarray:
         """The number of each word, -1 for those never seen."""
         distinct, back = np.unique(hashes, return_inverse=True)
         out = np.full(len(distinct), -1, np.int64)
         for s, part in _slices(shard_of(distinct, self.shards)):
-            if self.keys[s] is not None:
-                at = np.minimum(np.searchsorted(self.keys[s], distinct[part]), len(self.keys[s]) - 1)
-                out[part] = np.where(self.keys[s][at] == distinct[part], at + self.starts[s], -1)
+            if self.sizes[s]:
+                keys = self.maps[f"words-{s:06d}"]
+                at = np.minimum(np.searchsorted(keys, distinct[part]), len(keys) - 1)
+                out[part] = np.where(keys[at] == distinct[part], at + self.starts[s], -1)
         return out[back]
 
 
@@ -215,7 +215,7 @@ def _count_bigrams(texts: DataFrame, place: dict) -> DataFrame:
         yield from _sent(np.searchsorted(splits, keys, "right"), keys, counts)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, vocabulary = Held(), Vocabulary(place)
+        held, vocabulary = Held(), Vocabulary(place, Maps(folder))
         for block in blocks(batches):
             hashes, bounds = token_hashes(block)
             numbers = vocabulary.numbers(hashes)
@@ -296,18 +296,13 @@ def train(docs: DataFrame) -> dict:
 
 
 class Model:
-    """The mapped arrays of a trained model."""
+    """The arrays of a trained model, mapped range by range as texts ask for them."""
 
     def __init__(self, place: dict):
-        self.place, self.vocabulary = place, Vocabulary(place)
-        folder, filled = place["folder"], [s for s, n in enumerate(place["sizes"]) if n]
-        self.of_word = {
-            name: {s: mapped(folder, f"{name}-{s:06d}") for s in filled} for name in ("word-counts", "before", "totals", "gammas")
-        }
-        if filled:
-            for name in ("totals", "gammas"):
-                self.of_word[name][len(place["sizes"])] = mapped(folder, f"{name}-{len(place['sizes']):06d}")
-        self.bigrams = {r: (mapped(folder, f"bigrams-{r:06d}"), mapped(folder, f"bigram-counts-{r:06d}")) for r in place["ranges"]}
+        self.place, self.maps = place, Maps(place["folder"])
+        self.vocabulary = Vocabulary(place, self.maps)
+        self.filled = {s for s, n in enumerate(place["sizes"]) if n}
+        self.ranges = set(place["ranges"])
         self.splits = np.array(place["splits"], np.uint64)
 
     def look_up(self, name: str, numbers: np.ndarray, missing: float) -> np.ndarray:
@@ -317,16 +312,16 @@ class Model:
         starts, begin = np.array(self.place["starts"]), self.place["words"]
         shard = np.where(distinct == begin, len(starts) - 1, np.searchsorted(starts, distinct, "right") - 1)
         for s, part in _slices(np.where(distinct < 0, -1, shard)):
-            if s >= 0 and s in self.of_word[name]:
-                out[part] = self.of_word[name][s][distinct[part] - starts[s]]
+            if s in self.filled or s == len(starts) - 1 and self.filled and name in ("totals", "gammas"):
+                out[part] = self.maps[f"{name}-{s:06d}"][distinct[part] - starts[s]]
         return out[back]
 
     def counts_of(self, keys: np.ndarray) -> np.ndarray:
         distinct, back = np.unique(keys, return_inverse=True)
         out = np.zeros(len(distinct), np.int64)
         for r, part in _slices(np.searchsorted(self.splits, distinct, "right")):
-            if r in self.bigrams:
-                stored, counts = self.bigrams[r]
+            if r in self.ranges:
+                stored, counts = self.maps[f"bigrams-{r:06d}"], self.maps[f"bigram-counts-{r:06d}"]
                 at = np.minimum(np.searchsorted(stored, distinct[part]), len(stored) - 1)
                 out[part] = np.where(stored[at] == distinct[part], counts[at], 0)
         return out[back]

@@ -226,6 +226,22 @@ def test_language_model_probabilities_add_up(spark):
     assert np.isclose((10 ** logs[bounds[:-1]]).std(), 0)
 
 
+def test_a_model_of_many_ranges_keeps_few_maps_open(spark, monkeypatch):
+    monkeypatch.setattr(language_model, "RANGE_TOKENS", 2)
+    rng = random.Random(8)
+    texts = [" ".join(f"w{rng.randrange(60)}" for _ in range(100)) for _ in range(40)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    place = language_model.train(docs)
+    assert len(place["ranges"]) > 1000
+    batch = docs.toArrow().to_batches()[0]
+    hashes, bounds = language_model.token_hashes(next(blocks([batch])))
+    few, all_open = language_model.Model(place), language_model.Model(place)
+    few.maps.most = 8
+    for got, want in zip(few.score(hashes, bounds), all_open.score(hashes, bounds)):
+        assert (got == want).all()
+    assert len(few.maps.held) <= 8 < 1000 < len(all_open.maps.held)
+
+
 def test_language_model_without_texts(spark, odd_docs, no_docs):
     place = language_model.train(no_docs)
     rows = language_model.score(odd_docs, place).collect()
