@@ -14,6 +14,7 @@ from shelfcast.functions.history import all_zero
 from shelfcast.operators import encoding, explore, features, folds, panel as P, quality, selection
 from shelfcast.operators.boosting import Boost, search_boosted
 from shelfcast.operators.boosting import train_boosted as fit_boosted
+from shelfcast.operators.neighbours import neighbour_information as by_neighbours
 from shelfcast.operators.training import aligned_models, linear_score, mean_absolute_error, search, train
 from shelfcast.plans import forecasting
 from shelfcast.plans.preparation import (
@@ -588,6 +589,12 @@ def _left_gradients(spark: SparkSession, folder: str, models: DataFrame) -> Data
     )
 
 
+def neighbour_information(spark: SparkSession, folder: str) -> DataFrame:
+    """Every feature of every series by rank of its information from neighbour distances."""
+    ready = _encoded_set(spark, folder)
+    return rounded(selection.rank_features(by_neighbours(ready.encoded, ready.features)), "mutual_information")
+
+
 def hyper_search(spark: SparkSession, folder: str) -> DataFrame:
     """The penalties of every series by rank, with their error on each fold: ridge on the
     best feature alone, which is a covariance over a variance, so that SQL can follow it."""
@@ -773,6 +780,7 @@ QUERIES: dict[str, Query] = {
         mutual_information,
         feature_ranking,
         ts_folds,
+        neighbour_information,
         hyper_search,
         train_boosted,
         boosted_search,

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
 from pyspark.sql import DataFrame, SparkSession
@@ -62,17 +63,21 @@ def encoded_rows(rows: DataFrame) -> TrainingSet:
     return TrainingSet(encoders, encoded, names)
 
 
-def training_set(rows: DataFrame, kept: int = KEPT_FEATURES) -> TrainingSet:
-    return with_selected(encoded_rows(rows), kept)
+Scores = Callable[[DataFrame, list[str]], DataFrame]
+"""How features are scored: `mutual_information` or `neighbour_information`."""
 
 
-def with_selected(prepared: TrainingSet, kept: int = KEPT_FEATURES) -> TrainingSet:
-    scores = mutual_information(prepared.encoded, prepared.features)
-    return replace(prepared, selected=stage(preselect(scores, kept), "selected"))
+def training_set(rows: DataFrame, kept: int = KEPT_FEATURES, scores: Scores = mutual_information) -> TrainingSet:
+    return with_selected(encoded_rows(rows), kept, scores)
 
 
-def retrain(rows: DataFrame, kept: int = KEPT_FEATURES) -> Registry:
-    prepared = training_set(rows, kept)
+def with_selected(prepared: TrainingSet, kept: int = KEPT_FEATURES, scores: Scores = mutual_information) -> TrainingSet:
+    found = scores(prepared.encoded, prepared.features)
+    return replace(prepared, selected=stage(preselect(found, kept), "selected"))
+
+
+def retrain(rows: DataFrame, kept: int = KEPT_FEATURES, scores: Scores = mutual_information) -> Registry:
+    prepared = training_set(rows, kept, scores)
     models = train(prepared.encoded, prepared.selected, prepared.features)
     return Registry(prepared.encoders, stage(models, "models"))
 
