@@ -24,8 +24,9 @@ from shelfcast.plans.preparation import (
     fit_encoders,
     model_rows,
     prepare,
+    with_block_positions,
 )
-from shelfcast.plans.retraining import Registry, TrainingSet, encoded_rows, with_selected
+from shelfcast.plans.retraining import Registry, TrainingSet, block_training_set, encoded_rows, with_selected
 from shelfcast.schema import (
     HORIZON,
     MODEL_COLUMNS,
@@ -653,6 +654,44 @@ def model_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return _left_gradients(spark, folder, Registry.load(spark, path).models)
 
 
+def train_block(spark: SparkSession, folder: str) -> DataFrame:
+    """Like `train_per_series`, trained on one-hot positions; what is left to gain is worked
+    out over named columns."""
+
+    def make() -> DataFrame:
+        ready = block_training_set(work_rows(spark, folder))
+        return stage(train(ready.encoded, ready.selected, ready.features), "models")
+
+    return _left_gradients(spark, folder, _once(spark, folder, "block-models", make))
+
+
+def _given_block_registry(spark: SparkSession, folder: str) -> Registry:
+    """The given models, with the weight of an event kept by its position."""
+
+    def make() -> Registry:
+        given = _given_registry(spark, folder)
+        encoders = with_block_positions(given.encoders)
+        name = F.concat_ws("_", "variable", "category")
+        event = encoders.one_hot.where(name.isin(list(GIVEN_WEIGHTS))).select(name.alias("name"), "position").distinct()
+        # One row per given weight at most.
+        known = event.agg(F.map_from_entries(F.collect_list(F.struct("name", "position")))).scalar()
+        places = F.transform("features", lambda f: F.try_element_at("known", f)).alias("positions")
+        models = given.models.withColumn("known", known).select(*given.models.columns, places)
+        return Registry(encoders, stage(models, "models"))
+
+    return _once(spark, folder, "given-block-registry", make)
+
+
+def score_block(spark: SparkSession, folder: str) -> DataFrame:
+    """`score_one_day` with one-hot positions."""
+    return forecasting.score_one_day(production_rows(spark, folder), _given_block_registry(spark, folder))
+
+
+def forecast_block(spark: SparkSession, folder: str) -> DataFrame:
+    """`recursive_forecast` with one-hot positions."""
+    return forecasting.recursive_forecast(production_rows(spark, folder), _given_block_registry(spark, folder))
+
+
 def score_one_day(spark: SparkSession, folder: str) -> DataFrame:
     return forecasting.score_one_day(production_rows(spark, folder), _given_registry(spark, folder))
 
@@ -787,6 +826,9 @@ QUERIES: dict[str, Query] = {
         boosted_forecast,
         train_per_series,
         model_roundtrip,
+        train_block,
+        score_block,
+        forecast_block,
         score_one_day,
         evaluate_holdout,
         fit_vs_actual,

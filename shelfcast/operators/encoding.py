@@ -9,7 +9,7 @@ category, so no task ever holds all of a column's categories.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -55,20 +55,47 @@ def category_positions(state: DataFrame) -> DataFrame:
     return placed.join(starts, "_part").select("variable", "category", at.alias("position"))
 
 
+def with_positions(state: DataFrame) -> DataFrame:
+    """The state with the position of each category, if it has none yet."""
+    if "position" in state.columns:
+        return state
+    return state.join(category_positions(state), ["variable", "category"])
+
+
+def folded_positions(state: DataFrame, columns: list[str], keys: list[str] = SERIES) -> DataFrame:
+    """One row per key: a map from each category it has seen to its position, `_at_<column>`."""
+    pair = F.struct("category", "position")
+    return state.groupBy(*keys).agg(
+        *[
+            F.map_from_entries(F.collect_list(F.when(F.col("variable") == c, pair))).alias(f"_at_{c}")
+            for c in columns
+        ]
+    )
+
+
+def positions_in(values: dict[str, Column]) -> Column:
+    """The block of one row joined to its folded positions; a category its key has not seen
+    gives none."""
+    found = [F.try_element_at(F.col(f"_at_{c}"), v.cast("string")) for c, v in values.items()]
+    return F.array_sort(F.array_compact(F.array(*found)))
+
+
 def encode_positions(df: DataFrame, state: DataFrame, columns: list[str], keys: list[str] = SERIES) -> DataFrame:
     """One column `one_hot`, the positions of the ones in a row's block, in order.
 
-    A category its key has not seen gives none.
+    A category its key has not seen gives none. With keys the rows stay where their key is;
+    without, they meet the positions by category.
     """
-    positions = category_positions(state)
-    found = []
+    state = with_positions(state)
+    if keys:
+        rows = df.join(folded_positions(state, columns, keys), keys, "left")
+        return rows.select(*df.columns, positions_in({c: F.col(c) for c in columns}).alias("one_hot"))
+    rows, found = df, []
     for column in columns:
-        seen = state.where(F.col("variable") == column).select(*keys, "category").distinct()
-        part = seen.join(positions.where(F.col("variable") == column), "category")
-        df = _join_category(df, part, column, keys, {"position": f"_at_{column}"})
+        part = state.where(F.col("variable") == column)
+        rows = _join_category(rows, part, column, [], {"position": f"_at_{column}"})
         found.append(F.col(f"_at_{column}"))
-    block = F.array_sort(F.array_compact(F.array(*found))).alias("one_hot")
-    return df.select(*[c for c in df.columns if not c.startswith("_at_")], block)
+    return rows.select(*df.columns, F.array_sort(F.array_compact(F.array(*found))).alias("one_hot"))
 
 
 def one_hot_names(categories: dict[str, list[str]]) -> list[str]:

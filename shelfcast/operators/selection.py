@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -58,6 +58,46 @@ def mutual_information(
     return scores.select(*keys, F.get(names, F.col("at")).alias("feature"), "mutual_information")
 
 
+def one_hot_information(
+    df: DataFrame, state: DataFrame, target: str = TARGET, bins: int = BINS, keys: list[str] = SERIES
+) -> DataFrame:
+    """`mutual_information` of each category with the target, from rows that hold the positions
+    of their ones (`one_hot`), whatever the width of the block.
+
+    Only the ones are counted; the zeros are what is left of a key's counts by bin of the
+    target. A category that a key never has tells it nothing and has no row.
+    """
+    of_key = W.partitionBy(*keys)
+    rank = F.rank().over(of_key.orderBy(target))
+    placed = df.select(*keys, "one_hot", rank.alias("rank"), F.count("*").over(of_key).alias("rows")).select(
+        *keys, "one_hot", "rows", F.floor(bins * (F.col("rank") - 1) / F.col("rows")).cast("int").alias("ybin")
+    )
+    in_bin = F.collect_list(F.struct("ybin", "n"))
+    totals = placed.groupBy(*keys, "rows", "ybin").agg(F.count("*").alias("n")).groupBy(*keys, "rows").agg(in_bin.alias("all"))
+    ones = (
+        placed.select(*keys, "ybin", F.explode("one_hot").alias("position"))
+        .groupBy(*keys, "position", "ybin")
+        .agg(F.count("*").alias("n"))
+        .groupBy(*keys, "position")
+        .agg(F.map_from_entries(in_bin).alias("ones"), F.sum("n").alias("n_ones"))
+    )
+    rows, n_ones = F.col("rows"), F.col("n_ones")
+
+    def term(n: Column, n_x: Column, n_y: Column) -> Column:
+        return F.when(n > 0, n / rows * F.ln(n * rows / (n_x * n_y))).otherwise(0.0)
+
+    def of_bin(cell: Column) -> Column:
+        n = F.coalesce(F.try_element_at("ones", cell["ybin"]), F.lit(0))
+        return term(n, n_ones, cell["n"]) + term(cell["n"] - n, rows - n_ones, cell["n"])
+
+    # Few zeros share a bin of the feature with the ones after them.
+    apart = F.floor(bins * (rows - n_ones) / rows) > 0
+    score = F.when(apart, F.aggregate("all", F.lit(0.0), lambda s, cell: s + of_bin(cell))).otherwise(0.0)
+    names = state.select("position", F.concat_ws("_", "variable", "category").alias("feature")).distinct()
+    scored = ones.join(totals, keys).select(*keys, "position", score.alias("mutual_information"))
+    return scored.join(names, "position").select(*keys, "feature", "mutual_information", "position")
+
+
 def rank_features(scores: DataFrame, keys: list[str] = SERIES) -> DataFrame:
     """Position from 0 by falling score; equal scores go by name."""
     best = W.partitionBy(*keys).orderBy(F.round("mutual_information", 9).desc(), "feature")

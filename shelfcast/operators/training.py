@@ -26,6 +26,8 @@ MODEL_COLUMNS = (
     "store_id string, item_id string, features array<string>, weights array<double>, "
     "intercept double, l2 double, cv_mae double, rows bigint"
 )
+SPARSE_COLUMNS = f"{MODEL_COLUMNS}, positions array<bigint>"
+"""Of models on a one-hot block: the position of each feature in it, null outside of it."""
 SEARCH_COLUMNS = "store_id string, item_id string, l2 double, mean_mae double, folds int, errors array<double>"
 
 
@@ -76,13 +78,30 @@ def _search(
 
 def _matrix(rows: pd.DataFrame, chosen: pd.DataFrame) -> tuple[list[str], np.ndarray, np.ndarray]:
     rows = rows.sort_values("date")
-    names = chosen.sort_values("rank")["feature"].tolist()
-    return names, rows[names].to_numpy(dtype=float), rows[TARGET].to_numpy(dtype=float)
+    chosen = chosen.sort_values("rank")
+    names, y = chosen["feature"].tolist(), rows[TARGET].to_numpy(dtype=float)
+    if "position" not in chosen:
+        return names, rows[names].to_numpy(dtype=float), y
+    x = np.zeros((len(rows), len(names)))
+    at = chosen["position"].to_numpy(dtype=float)
+    named = np.flatnonzero(np.isnan(at))
+    x[:, named] = rows[[names[i] for i in named]].to_numpy(dtype=float)
+    # Ones go to the places of the chosen positions; the others were not chosen.
+    places = np.flatnonzero(~np.isnan(at))
+    places = places[np.argsort(at[places])]
+    if len(places):
+        ones = np.concatenate([np.asarray(block, dtype=float) for block in rows["one_hot"]])
+        row = np.repeat(np.arange(len(rows)), rows["one_hot"].map(len))
+        found = np.minimum(np.searchsorted(at[places], ones), len(places) - 1)
+        known = at[places][found] == ones
+        x[row[known], places[found[known]]] = 1.0
+    return names, x, y
 
 
 def _training_rows(encoded: DataFrame, features: list[str]) -> DataFrame:
+    block = [c for c in ("one_hot",) if c in encoded.columns]
     return encoded.select(
-        *SERIES, "date", TARGET, *[F.col(f).cast("double").alias(f) for f in features]
+        *SERIES, "date", TARGET, *block, *[F.col(f).cast("double").alias(f) for f in features]
     )
 
 
@@ -121,12 +140,14 @@ def train(
 ) -> DataFrame:
     """The model table: search, then the best candidate refitted on all rows.
 
-    A series too short for a single fold takes the first candidate, with no error.
+    A series too short for a single fold takes the first candidate, with no error. Features
+    selected with a `position` are read from the rows' one-hot block, the others by name.
     """
     tried = candidates or draw_candidates()
+    schema = SPARSE_COLUMNS if "position" in selected.columns else MODEL_COLUMNS
 
     def run(key: tuple, rows: pd.DataFrame, chosen: pd.DataFrame) -> pd.DataFrame:
-        columns = [c.split()[0] for c in MODEL_COLUMNS.split(", ")]
+        columns = [c.split()[0] for c in schema.split(", ")]
         if rows.empty or chosen.empty:
             return pd.DataFrame(columns=columns)
         names, x, y = _matrix(rows, chosen)
@@ -134,10 +155,13 @@ def train(
         l2, mae, *_ = min(results, key=lambda r: (r[1] is None, r[1] or 0.0))
         weights, intercept = _solve(x, y, l2)
         values = [key[0], key[1], names, weights.tolist(), intercept, l2, mae, len(y)]
+        if "position" in chosen:
+            places = chosen.sort_values("rank")["position"]
+            values.append([None if pd.isna(p) else int(p) for p in places])
         return pd.DataFrame([values], columns=columns)
 
     left = _training_rows(encoded, features).groupBy(*SERIES)
-    return left.cogroup(selected.groupBy(*SERIES)).applyInPandas(run, MODEL_COLUMNS)
+    return left.cogroup(selected.groupBy(*SERIES)).applyInPandas(run, schema)
 
 
 def aligned_models(models: DataFrame, features: list[str]) -> DataFrame:
@@ -145,7 +169,11 @@ def aligned_models(models: DataFrame, features: list[str]) -> DataFrame:
     own = F.map_from_arrays("features", "weights")
     names = F.array(*[F.lit(f) for f in features])
     aligned = F.transform(names, lambda n: F.coalesce(F.try_element_at(own, n), F.lit(0.0)))
-    return models.select(*SERIES, F.col("intercept").alias("_intercept"), aligned.alias("_weights"))
+    found = [F.col("intercept").alias("_intercept"), aligned.alias("_weights")]
+    if "positions" in models.columns:
+        pairs = F.filter(F.arrays_zip("positions", "weights"), lambda p: p["positions"].isNotNull())
+        found.append(F.map_from_entries(pairs).alias("_one_hot"))
+    return models.select(*SERIES, *found)
 
 
 def linear_score(values: list[Column]) -> Column:
@@ -156,6 +184,11 @@ def linear_score(values: list[Column]) -> Column:
     return score
 
 
+def one_hot_score(block: Column) -> Column:
+    """The weights of a row's ones, for a row joined to its aligned model."""
+    return F.aggregate(block, F.lit(0.0), lambda s, p: s + F.coalesce(F.try_element_at("_one_hot", p), F.lit(0.0)))
+
+
 def whole_units(score: Column) -> Column:
     """Cut towards zero; the last digits of a sum of fractions do not decide a unit."""
     return F.round(score, 6).cast("int")
@@ -166,17 +199,20 @@ def aligned(models: DataFrame, features: list[str]) -> DataFrame:
     return aligned_trees(models, features) if "trees" in models.columns else aligned_models(models, features)
 
 
-def predicted(models: DataFrame, values: list[Column]) -> Column:
-    """What the aligned model next to a row says of its values, in whole units."""
+def predicted(models: DataFrame, values: list[Column], block: Column | None = None) -> Column:
+    """What the aligned model next to a row says of its values and one-hot block, in whole units."""
     if "trees" in models.columns:
         return whole_units(tree_score(F.array(*[v.cast("double") for v in values])))
+    if "positions" in models.columns:
+        return whole_units(linear_score(values) + one_hot_score(block))
     return whole_units(linear_score(values))
 
 
 def score(encoded: DataFrame, models: DataFrame, features: list[str]) -> DataFrame:
     """Predict every row with the model of its series; null for a series without one."""
     joined = encoded.join(aligned(models, features), SERIES, "left")
-    prediction = predicted(models, [F.col(f) for f in features])
+    block = F.col("one_hot") if "positions" in models.columns else None
+    prediction = predicted(models, [F.col(f) for f in features], block)
     return with_series_id(joined).select(*SERIES, "series_id", "date", TARGET, prediction.alias("prediction"))
 
 

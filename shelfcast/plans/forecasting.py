@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfcast.functions.history import history_features
-from shelfcast.operators.encoding import folded_one_hot, folded_target_encoding
+from shelfcast.operators.encoding import folded_one_hot, folded_positions, folded_target_encoding, positions_in
 from shelfcast.operators.features import feature_names
 from shelfcast.operators.panel import keep_oldest_day, last_rows
 from shelfcast.operators.training import (
@@ -15,11 +15,12 @@ from shelfcast.operators.training import (
     predicted,
     score,
 )
-from shelfcast.plans.preparation import encode, encoded_feature_names, prepare
+from shelfcast.plans.preparation import encode, encode_block, encoded_feature_names, prepare
 from shelfcast.plans.retraining import Registry
 from shelfcast.schema import (
     HORIZON,
     NO_EVENT,
+    ONE_HOT_COLUMNS,
     PRICE_LAGS,
     ROLLING_SPANS,
     SALES_LAGS,
@@ -30,6 +31,9 @@ from shelfcast.schema import (
 
 
 def score_rows(features: DataFrame, registry: Registry) -> DataFrame:
+    """With models on a one-hot block no category is collected."""
+    if "positions" in registry.models.columns:
+        return score(encode_block(features, registry.encoders), registry.models, encoded_feature_names({}))
     categories = registry.encoders.categories()
     encoded = encode(features, registry.encoders, categories)
     return score(encoded, registry.models, encoded_feature_names(categories))
@@ -91,11 +95,13 @@ def forecast_days(rows: DataFrame, registry: Registry, steps: int = HORIZON) ->
         .join(step_prices(placed, F.col("_at"), steps), "item_id", "left")
     )
     encoders = registry.encoders
-    categories = encoders.categories()
+    by_position = "positions" in registry.models.columns
+    categories = {} if by_position else encoders.categories()
     names = encoded_feature_names(categories)
+    seen = folded_positions if by_position else folded_one_hot
     known_days = (
         packed.join(aligned(registry.models, names), SERIES)
-        .join(folded_one_hot(encoders.one_hot, list(categories)), SERIES, "left")
+        .join(seen(encoders.one_hot, ONE_HOT_COLUMNS), SERIES, "left")
         .join(folded_target_encoding(encoders.target, TARGET_ENCODED_COLUMNS), SERIES, "left")
     )
 
@@ -126,7 +132,8 @@ def forecast_days(rows: DataFrame, registry: Registry, steps: int = HORIZON) ->
             ]
         for column in TARGET_ENCODED_COLUMNS:
             values.append(F.coalesce(F.try_element_at(f"_map_{column}", day[column]), F.col("_prior")))
-        return predicted(registry.models, values)
+        block = positions_in({c: day[c] for c in ONE_HOT_COLUMNS}) if by_position else None
+        return predicted(registry.models, values, block)
 
     history = F.array(*[on(SALES_LAGS - k)["sales"] for k in range(1, SALES_LAGS + 1)])
     to_come = F.transform(F.sequence(F.lit(0), F.lit(steps - 1)), day_to_come)

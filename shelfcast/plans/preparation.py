@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from shelfcast.operators.encoding import (
     apply_one_hot,
     apply_target_encoding,
+    encode_positions,
     fit_one_hot,
     fit_target_encoding,
     one_hot_categories,
     one_hot_names,
+    with_positions,
 )
 from shelfcast.operators.features import build_features, feature_names
 from shelfcast.operators.quality import clean
@@ -79,6 +81,18 @@ def encode(
     return encoded.drop(*ONE_HOT_COLUMNS, *TARGET_ENCODED_COLUMNS)
 
 
+def with_block_positions(encoders: Encoders) -> Encoders:
+    """Encoders whose one-hot state has positions, for blocks of any width."""
+    return Encoders(stage(with_positions(encoders.one_hot), "one-hot"), encoders.target)
+
+
+def encode_block(features: DataFrame, encoders: Encoders) -> DataFrame:
+    """Like `encode`, with the one-hot block as one array of positions."""
+    encoded = encode_positions(features, encoders.one_hot, ONE_HOT_COLUMNS)
+    encoded = apply_target_encoding(encoded, encoders.target, TARGET_ENCODED_COLUMNS)
+    return encoded.drop(*ONE_HOT_COLUMNS, *TARGET_ENCODED_COLUMNS)
+
+
 def encoded_feature_names(categories: dict[str, list[str]]) -> list[str]:
     """Every model input in its fixed order."""
     return [

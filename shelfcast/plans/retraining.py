@@ -8,9 +8,17 @@ from dataclasses import dataclass, replace
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfcast.operators.boosting import Boost, train_boosted
-from shelfcast.operators.selection import KEPT_FEATURES, mutual_information, preselect
+from shelfcast.operators.selection import KEPT_FEATURES, mutual_information, one_hot_information, preselect
 from shelfcast.operators.training import train
-from shelfcast.plans.preparation import Encoders, encode, encoded_feature_names, fit_encoders, prepare
+from shelfcast.plans.preparation import (
+    Encoders,
+    encode,
+    encode_block,
+    encoded_feature_names,
+    fit_encoders,
+    prepare,
+    with_block_positions,
+)
 from shelfcast.schema import SERIES
 from shelfcast.session import stage, stage_by_series
 from shelfcast.sources.tables import read_stage, write_stage
@@ -82,6 +90,25 @@ def retrain(rows: DataFrame, kept: int = KEPT_FEATURES, scores: Scores = mutual_
     return Registry(prepared.encoders, stage(models, "models"))
 
 
+def block_training_set(rows: DataFrame, kept: int = KEPT_FEATURES) -> TrainingSet:
+    """The training set with its one-hot block as positions: categories are data from the
+    fit to the score, and none is collected."""
+    features = prepare(rows)
+    encoders = with_block_positions(fit_encoders(features))
+    names = encoded_feature_names({})
+    encoded = stage_by_series(encode_block(features, encoders), "encoded", SERIES)
+    of_names = mutual_information(encoded, names)
+    scores = one_hot_information(encoded, encoders.one_hot).unionByName(of_names, allowMissingColumns=True)
+    return TrainingSet(encoders, encoded, names, stage(preselect(scores, kept), "selected"))
+
+
+def retrain_block(rows: DataFrame, kept: int = KEPT_FEATURES) -> Registry:
+    """The models of `retrain`, whose one-hot weights are kept by position."""
+    prepared = block_training_set(rows, kept)
+    models = train(prepared.encoded, prepared.selected, prepared.features)
+    return Registry(prepared.encoders, stage(models, "models"))
+
+
 def retrain_boosted(rows: DataFrame, boost: Boost = Boost()) -> Registry:
     """A registry of boosted trees, which choose among all features themselves."""
     prepared = encoded_rows(rows)
