@@ -155,12 +155,10 @@ def quantiles(counts: DataFrame, probabilities: tuple[float, ...], cells: int |
         cells = max(2, min(tasks, widest), -(-widest // CELL_VALUES))
     steps = [i / cells for i in range(1, cells)]
     cuts = counts.groupBy("variable").agg(F.percentile_approx("value", steps, 10000).alias("cuts"))
-    known = {r["variable"]: sorted(set(r["cuts"])) for r in cuts.collect()}
-    cell = F.lit(0)
-    for variable, points in known.items():
-        below = F.size(F.filter(F.array(*[F.lit(p) for p in points]), lambda p: p < F.col("value")))
-        cell = F.when(F.col("variable") == variable, below).otherwise(cell)
-    placed = counts.withColumn("cell", cell)
+    # One row per variable, of as many cuts as cells; they differ and are in order.
+    cuts = cuts.select("variable", F.array_sort(F.array_distinct("cuts")).alias("cuts"))
+    below = F.size(F.filter("cuts", lambda p: p < F.col("value")))
+    placed = counts.join(F.broadcast(cuts), "variable").withColumn("cell", below).drop("cuts")
 
     totals = placed.groupBy("variable", "cell").agg(F.sum("n").alias("in_cell"))
     up_to = W.partitionBy("variable").orderBy("cell")
