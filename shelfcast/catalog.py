@@ -597,14 +597,25 @@ def neighbour_information(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def hyper_search(spark: SparkSession, folder: str) -> DataFrame:
-    """The penalties of every series by rank, with their error on each fold: ridge on the
-    best feature alone, which is a covariance over a variance, so that SQL can follow it."""
+    """The penalties of every series by rank: ridge on all its selected features, with the error
+    on each fold and the days they were tested on."""
     ready = _training_set(spark, folder)
     best = W.partitionBy(*SERIES).orderBy("mean_mae", "l2")
-    found = search(ready.encoded, ready.selected.where(F.col("rank") == 0), ready.features)
+    found = search(ready.encoded, ready.selected, ready.features)
     found = rounded(found, "mean_mae").withColumn("rank", F.row_number().over(best))
     errors = [F.round(F.get("errors", F.lit(i)), 6).alias(f"error_{i}") for i in range(folds.FOLDS)]
-    return found.select(*SERIES, "l2", "rank", "folds", "mean_mae", *errors)
+    # A fold without rows to learn from tests no days.
+    used = F.least(F.lit(folds.FOLDS), F.floor((F.col("rows") - 1) / folds.TEST_ROWS))
+    tested = F.col("recency") <= used * folds.TEST_ROWS
+    numbered = folds.with_recency(ready.encoded.select(*KEY))
+    days = numbered.withColumn("rows", F.count("*").over(W.partitionBy(*SERIES))).groupBy(*SERIES, "rows").agg(
+        F.min(F.when(tested, F.col("date"))).alias("first_test_date"),
+        F.max(F.when(tested, F.col("date"))).alias("last_test_date"),
+    )
+    same = [F.col(f"found.{k}").eqNullSafe(F.col(f"days.{k}")) for k in SERIES]
+    return found.alias("found").join(days.alias("days"), same).select(
+        *[f"found.{k}" for k in SERIES], "l2", "rank", "folds", "mean_mae", *errors, "rows", "first_test_date", "last_test_date"
+    )
 
 
 BOOST = Boost(learning_rate=0.1, rounds=2, depth=2, l2=1.0)

@@ -527,31 +527,70 @@ so_far_{s + 1} AS MATERIALIZED (
     )
 
 
+KEPT = 70
 HYPER_SEARCH = (
     ENCODED_WORK
     + WORK_SCORES[len(ENCODED_ROWS.replace("FROM clean", "FROM work_clean")):]
-    + f""", top AS (
-  SELECT store_id, item_id, feature FROM scores
-  QUALIFY row_number() OVER (PARTITION BY store_id, item_id ORDER BY round(mutual_information, 9) DESC, feature) = 1),
-one_x AS MATERIALIZED (
-  SELECT u.*, row_number() OVER (PARTITION BY store_id, item_id ORDER BY date DESC) AS recency FROM (
-    SELECT store_id, item_id, date, CAST(sales AS DOUBLE) AS y, feature, x FROM (
-      SELECT store_id, item_id, date, sales, {", ".join(f'CAST("{f}" AS DOUBLE) AS "{f}"' for f in FEATURES)} FROM encoded)
-    UNPIVOT (x FOR feature IN ({", ".join(f'"{f}"' for f in FEATURES)}))) u JOIN top USING (store_id, item_id, feature)),
-fits AS (
-  SELECT store_id, item_id, fold, avg(x) AS mx, avg(y) AS my, covar_pop(x, y) AS c, var_pop(x) AS v
-  FROM one_x, (SELECT unnest(range(5)) AS fold) WHERE recency > 8 * (fold + 1) GROUP BY ALL),
+    + f""", sids AS (SELECT store_id, item_id, CAST(row_number() OVER (ORDER BY store_id, item_id) AS INTEGER) AS sid FROM series),
+chosen AS (
+  SELECT sid, feature, CAST(row_number() OVER (PARTITION BY sid ORDER BY round(mutual_information, 9) DESC, feature) AS INTEGER) AS place
+  FROM scores JOIN sids USING (store_id, item_id) QUALIFY place <= {KEPT}),
+learned AS MATERIALIZED (
+  SELECT sid, date, CAST(row_number() OVER (PARTITION BY sid ORDER BY date DESC) AS INTEGER) AS recency, CAST(sales AS DOUBLE) AS y, [{_list}] AS xs
+  FROM encoded JOIN sids USING (store_id, item_id)),
+tested AS (
+  SELECT sid, rows, min(date) FILTER (recency <= 8 * least(5, (rows - 1) // 8)) AS first_test_date,
+    max(date) FILTER (recency <= 8 * least(5, (rows - 1) // 8)) AS last_test_date
+  FROM (SELECT *, count(*) OVER (PARTITION BY sid) AS rows FROM learned) GROUP BY ALL),
+penalties AS (SELECT unnest([0.0001, 0.001, 0.01, 0.1, 1.0])::DOUBLE AS l2),
+long_x AS (
+  SELECT sid, place, recency, x FROM (
+    SELECT sid, recency, unnest(xs) AS x, unnest([{", ".join(f"'{f}'" for f in FEATURES)}]) AS feature FROM learned) JOIN chosen USING (sid, feature)
+  UNION ALL SELECT sid, {KEPT + 1}, recency, y FROM learned),
+newest_first AS MATERIALIZED (SELECT sid, place, avg(x) AS centre, list(x ORDER BY recency) AS xs FROM long_x GROUP BY ALL),
+folded AS (SELECT unnest(range(5))::INTEGER AS fold),
+moments AS MATERIALIZED (
+  SELECT sid, place, centre, xs, fold, len(xs) - 8 * (fold + 1) AS n, list_avg(xs[8 * fold + 9:]) AS m, list_var_pop(xs[8 * fold + 9:]) AS v
+  FROM newest_first, folded WHERE len(xs) - 8 * (fold + 1) >= 1),
+blocks AS MATERIALIZED (
+  SELECT sid, place, block, list_transform(CASE WHEN block < 5 THEN xs[8 * block + 1:8 * block + 8] ELSE xs[41:] END, lambda x: x - centre) AS c
+  FROM newest_first, (SELECT unnest(range(6))::INTEGER AS block) WHERE len(xs) > 8 * block),
+products AS (
+  SELECT a.sid, a.block, a.place, b.place AS col, list_inner_product(a.c, b.c) AS s
+  FROM blocks a JOIN blocks b ON b.sid = a.sid AND b.block = a.block AND b.place <= a.place AND b.place <= {KEPT}),
+sums AS (SELECT sid, fold, place, col, sum(s) AS s FROM products JOIN folded ON block > fold GROUP BY ALL),
+grams AS (
+  SELECT s.sid, s.fold, s.place, s.col, CASE WHEN b.v > 1e-24 AND a.v > 1e-24 THEN
+    (s.s / a.n - (a.m - a.centre) * (b.m - b.centre)) / sqrt(b.v) / CASE WHEN s.place <= {KEPT} THEN sqrt(a.v) ELSE 1 END ELSE 0 END AS a
+  FROM sums s JOIN moments a ON a.sid = s.sid AND a.fold = s.fold AND a.place = s.place
+  JOIN moments b ON b.sid = s.sid AND b.fold = s.fold AND b.place = s.col
+  UNION ALL
+  SELECT sid, fold, {KEPT + 1} + day, place, CASE WHEN v > 1e-24 THEN (xs[8 * fold + day] - m) / sqrt(v) ELSE 0 END
+  FROM moments, (SELECT unnest(range(1, 9))::INTEGER AS day) WHERE place <= {KEPT}),
+lines AS MATERIALIZED (SELECT sid, fold, place, list(a ORDER BY col) AS a FROM grams GROUP BY ALL),
+factors AS MATERIALIZED (
+  WITH RECURSIVE steps AS (
+    SELECT sid, fold, l2, place, 1 AS step, [0.0::DOUBLE] AS l FROM lines, penalties
+    UNION ALL
+    SELECT r.sid, r.fold, r.l2, r.place, r.step + 1,
+      list_append(r.l, (a.a[r.step] - list_inner_product(r.l, p.l)) / sqrt(d.a[r.step] + r.l2 - list_inner_product(p.l, p.l)))
+    FROM steps r JOIN steps p ON p.sid = r.sid AND p.fold = r.fold AND p.l2 = r.l2 AND p.place = r.step AND r.place > r.step AND r.step <= {KEPT}
+    JOIN lines a ON a.sid = r.sid AND a.fold = r.fold AND a.place = r.place
+    JOIN lines d ON d.sid = p.sid AND d.fold = p.fold AND d.place = p.place)
+  SELECT sid, fold, l2, place, l FROM steps WHERE step = {KEPT + 1}),
 errors AS (
-  SELECT o.store_id, o.item_id, l2, fold, avg(abs(my + CASE WHEN v > 1e-24 THEN c / v / (1 + l2) ELSE 0 END * (x - mx) - y)) AS error
-  FROM one_x o JOIN fits f ON f.store_id = o.store_id AND f.item_id = o.item_id AND recency > 8 * fold AND recency <= 8 * (fold + 1),
-    (SELECT unnest([0.0001, 0.001, 0.01, 0.1, 1.0])::DOUBLE AS l2) GROUP BY ALL),
+  SELECT t.sid, t.l2, t.fold, avg(abs(y.m + list_inner_product(t.l, u.l) - y.xs[8 * t.fold + t.place - {KEPT + 1}])) AS error
+  FROM factors t JOIN factors u ON u.sid = t.sid AND u.fold = t.fold AND u.l2 = t.l2 AND u.place = {KEPT + 1}
+  JOIN moments y ON y.sid = t.sid AND y.fold = t.fold AND y.place = {KEPT + 1} WHERE t.place > {KEPT + 1} GROUP BY ALL),
 wide AS (
-  SELECT store_id, item_id, l2, CAST(count(*) AS INTEGER) AS folds, round(avg(error), 6) AS mean_mae, list(error ORDER BY fold) AS e
-  FROM errors GROUP BY ALL)
-SELECT store_id, item_id, l2, CAST(row_number() OVER (PARTITION BY store_id, item_id ORDER BY mean_mae, l2) AS INTEGER) AS rank, folds, mean_mae,
-  {", ".join(f"round(e[{i + 1}], 6) AS error_{i}" for i in range(5))}
-FROM wide"""
+  SELECT sid, l2, CAST(count(error) AS INTEGER) AS folds, round(avg(error), 6) AS mean_mae, list(error ORDER BY fold) AS e
+  FROM tested CROSS JOIN penalties LEFT JOIN errors USING (sid, l2) GROUP BY ALL)
+SELECT store_id, item_id, l2, CAST(row_number() OVER (PARTITION BY sid ORDER BY mean_mae, l2) AS INTEGER) AS rank, folds, mean_mae,
+  {", ".join(f"round(e[{i + 1}], 6) AS error_{i}" for i in range(5))}, rows, first_test_date, last_test_date
+FROM wide JOIN tested USING (sid) JOIN sids USING (sid)"""
 )
+"""Ridge on all selected features as a triangular factor, column by column: below the features
+stand the target and the days of the test block, whose lines times the target's are the predictions."""
 
 ORACLE: dict[str, str] = {
     "train_per_series": LEARNED,
